@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from tallymill.plans import pipeline, recommender, reports, sampler, tuning
+from tallymill.plans import recommender, reports, runs, sampler, tuning
 from tallymill.session import build_session
 
 
@@ -53,7 +53,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "sample":
         sampler.sample_ratings(spark, args.ratings, args.out, args.ratio, args.seed)
     else:
-        run = pipeline.run_recommender(
+        run = runs.run_recommender(
             spark,
             args.mode,
             args.ratings,
