@@ -89,7 +89,7 @@ LONG_REPORTS = f"WITH {BASE}, every_report AS (" + "\nUNION ALL ".join(
 
 REPORT_FILES = LONG_REPORTS + "SELECT report, key1, key2, n FROM every_report WHERE position <= 10"
 
-# Trained errors are only checked to be usable, which shows as 1.
+# What depends on training is checked within the query; 1 means that the check holds.
 GRID = ("rank=4, regParam=0.1", "rank=4, regParam=0.01")
 
 

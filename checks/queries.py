@@ -487,13 +487,25 @@ def cv_grid_metrics(spark, sf):
 
 
 def _sql_known(table):
-    """Values that follow from the data are kept; a trained error only has to be usable."""
-    trained = F.col("metric").isin("rmse", "mean_rmse", "improvement_percent") & (F.col("run") != "baseline")
+    """Values that follow from the data are kept. Of trained ones it is checked that an error is
+    positive, and that the improvement (which may be negative) follows from the two test errors."""
+    best = F.when(F.col("run") == "best", F.col("value"))
+    baseline = F.when(F.col("run") == "baseline", F.col("value"))
+    tested = table.where((F.col("metric") == "rmse") & (F.col("split") == "test"))
+    errors = tested.agg(F.max(best).alias("value"), F.max(baseline).alias("base"))
+    improvement = errors.select(metrics.improvement_percent(F.col("base"), F.col("value"))).scalar()
+    trained = F.col("metric").isin("rmse", "mean_rmse") & (F.col("run") != "baseline")
     return table.select(
         "run",
         "metric",
         "split",
-        F.when(trained, (F.col("value") > 0).cast("double")).otherwise(F.round("value", 6)).alias("value"),
+        F.when(trained, (F.col("value") > 0).cast("double"))
+        .when(
+            F.col("metric") == "improvement_percent",
+            (F.abs(F.col("value") - improvement) < 1e-9).cast("double"),
+        )
+        .otherwise(F.round("value", 6))
+        .alias("value"),
     )
 
 
