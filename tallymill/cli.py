@@ -34,7 +34,7 @@ def parser() -> argparse.ArgumentParser:
     movies.add_argument("--user", type=int, help="show the unrated movies of this user")
     movies.add_argument("--top", type=int, default=recommender.TOP_K)
     movies.add_argument("--max-iter", type=int, default=recommender.MAX_ITER)
-    movies.add_argument("--blocks", type=int, default=10, help="parallelism of a fit")
+    movies.add_argument("--blocks", type=int, help="parallelism of a fit; by default from the data and the cluster")
     movies.add_argument("--ranks", type=int, nargs="+", default=list(tuning.RANKS))
     movies.add_argument("--reg-params", type=float, nargs="+", default=list(tuning.REG_PARAMS))
     movies.add_argument("--folds", type=int, default=tuning.FOLDS)

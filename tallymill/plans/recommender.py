@@ -27,14 +27,15 @@ USER, ITEM, RATING = "userId", "movieId", "rating"
 BROADCAST_BYTES = 64 * 1024 * 1024
 _SCORES_PER_BLOCK = 4_000_000
 
+MIN_BLOCK_ROWS = 25_000
+MAX_BLOCK_ROWS = 10_000_000
+
 
 def make_als(max_iter: int = MAX_ITER, seed: int = SEED, blocks: int = 10, **params) -> ALS:
     """Explicit-feedback ALS that drops rows of unseen users and items when it predicts.
 
     The seed is always set: the library default differs from process to process. ``blocks`` is the
-    number of user and of item blocks and with it the parallelism of a fit; on a cluster set it to
-    the number of cores or more. It takes part in the initialisation, so it is not derived from the
-    machine.
+    number of user and of item blocks and with it the parallelism of a fit; see ``block_count``.
     """
     return ALS(
         userCol=USER,
@@ -49,6 +50,12 @@ def make_als(max_iter: int = MAX_ITER, seed: int = SEED, blocks: int = 10, **par
     )
 
 
+def block_count(rows: int, parallelism: int) -> int:
+    """Blocks for a fit of ``rows`` ratings: one per core, unless that makes them too small to be
+    worth a task or too large for one."""
+    return max(1, min(parallelism, rows // MIN_BLOCK_ROWS), -(-rows // MAX_BLOCK_ROWS))
+
+
 def fit(als: ALS, ratings: DataFrame, overrides: dict[Param, object] | None = None) -> ALSModel:
     """Fit, with some parameters replaced; lineage is cut every ``checkpointInterval`` rounds."""
     ensure_checkpoint_dir(ratings.sparkSession)
