@@ -249,10 +249,8 @@ def table_counts(spark, sf):
 
 
 def baseline_rmse(spark, sf):
-    train, _, test = sampling.hash_split(
-        stand_ins.ratings(spark, sf), list(tuning.HOLDOUT_SPLIT.values()), KEYS
-    )
-    return metrics.baseline_rmse(train, test).select(F.round("baseline_rmse", 6).alias("baseline_rmse"))
+    figures = metrics.split_baseline_rmse(_labelled(stand_ins.ratings(spark, sf)))
+    return figures.select(F.round("baseline_rmse", 6).alias("baseline_rmse"))
 
 
 def baseline_improvement(spark, sf):

@@ -27,7 +27,7 @@ USER, ITEM, RATING = "userId", "movieId", "rating"
 BROADCAST_BYTES = 64 * 1024 * 1024
 _SCORES_PER_BLOCK = 4_000_000
 
-MIN_BLOCK_ROWS = 25_000
+MIN_BLOCK_ROWS = 200_000
 MAX_BLOCK_ROWS = 10_000_000
 
 
@@ -211,7 +211,7 @@ def _score_users(wanted: DataFrame, items: tuple[np.ndarray, np.ndarray]) -> Dat
 def _best(scores: np.ndarray, k: int) -> np.ndarray:
     """Places of the ``k`` highest scores, best first; the lower place wins among equal scores."""
     places = np.arange(len(scores))
-    if k < len(scores):
+    if 0 < k < len(scores):
         threshold = np.partition(scores, len(scores) - k)[len(scores) - k]
         places = np.flatnonzero(scores >= threshold)
     return places[np.argsort(-scores[places], kind="stable")][:k]

@@ -112,7 +112,9 @@ def restore_report(long_form: DataFrame, report: Report, types: dict[str, str])
     ]
     return (
         long_form.where(F.col("report") == report.name)
-        .orderBy("position")
+        # A handful of rows, so one partition is sorted in place.
+        .coalesce(1)
+        .sortWithinPartitions("position")
         .select(*columns, F.col("n").alias(report.count_name))
     )
 

@@ -59,6 +59,15 @@ def lowest(values: Sequence[float | None]) -> int:
     return min(usable)[1]
 
 
+def fits_at_once(als: ALS, parallelism: int, fits: int) -> int:
+    """How many fits to run side by side: as many as it takes for their blocks to fill the cores.
+
+    A fit is a series of short stages, so half as many again keep the cores busy between them. Large
+    data has a block per core and more; its fits run nearly one by one and do not crowd the memory.
+    """
+    return max(1, min(fits, -(-3 * parallelism // (2 * als.getNumUserBlocks()))))
+
+
 def evaluator() -> RegressionEvaluator:
     return RegressionEvaluator(metricName="rmse", labelCol=RATING, predictionCol="prediction")
 
@@ -83,12 +92,12 @@ def holdout_search(
     grid: Sequence[Params] | None = None,
     weights: dict[str, float] | None = None,
     seed: int | str = SEED,
-    parallelism: int = 1,
+    parallelism: int | None = None,
 ) -> SearchResult:
     """Fit every combination on the train rows and keep the one with the lowest validation error.
 
     The winner is scored on the test rows and compared with the mean of the train rows. ``weights``
-    names the three parts in order. Fits may run side by side; each is a series of small jobs.
+    names the three parts in order. ``parallelism`` is the number of fits that run side by side.
     """
     grid = list(grid) if grid is not None else param_grid(als)
     weights = weights or HOLDOUT_SPLIT
@@ -104,7 +113,8 @@ def holdout_search(
             model = fit(als, train, params)
             return model, *score(predict(model, validation))
 
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        at_once = parallelism or fits_at_once(als, spark.sparkContext.defaultParallelism, len(grid))
+        with ThreadPoolExecutor(max_workers=at_once) as pool:
             # Job groups and tags are inherited by the worker threads.
             attempts = list(pool.map(inheritable_thread_target(spark)(attempt), grid))
         best = lowest([error for _, error, _ in attempts])

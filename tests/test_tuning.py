@@ -1,0 +1,112 @@
+import math
+
+import pytest
+from pyspark.ml.tuning import CrossValidatorModel
+
+from tallymill.functions import metrics
+from tallymill.operators.sampling import hash_split
+from tallymill.plans import recommender, stand_ins, tuning
+from tests.conftest import SMALL
+
+KEYS = ["userId", "movieId"]
+
+
+@pytest.fixture(scope="module")
+def ratings(spark):
+    return stand_ins.planted_ratings(spark, SMALL).cache()
+
+
+@pytest.fixture(scope="module")
+def als():
+    return recommender.make_als(max_iter=6, blocks=2, rank=4, regParam=0.1)
+
+
+@pytest.mark.parametrize(
+    "values, place",
+    [([3.0, 1.0, 2.0], 1), ([2.0, 1.0, 1.0], 1), ([math.nan, 5.0], 1), ([None, math.nan, 7.0], 2), ([math.inf, 1.0], 1)],
+)
+def test_lowest(values, place):
+    assert tuning.lowest(values) == place
+
+
+@pytest.mark.parametrize("values", [[], [math.nan], [None, math.nan]])
+def test_no_usable_value(values):
+    with pytest.raises(ValueError, match="usable"):
+        tuning.lowest(values)
+
+
+def test_default_grid(als):
+    grid = tuning.param_grid(als)
+    assert {(params[als.rank], params[als.regParam]) for params in grid} == {
+        (rank, reg) for rank in (10, 12) for reg in (0.5, 0.1, 0.01)
+    }
+    assert als.getSeed() == 42 and als.getColdStartStrategy() == "drop"
+    assert recommender.make_als().getMaxIter() == 20
+
+
+@pytest.mark.parametrize("blocks, cores, fits, expected", [(2, 8, 6, 6), (8, 8, 6, 2), (30, 8, 6, 1), (2, 8, 3, 3)])
+def test_fits_at_once(blocks, cores, fits, expected):
+    assert tuning.fits_at_once(recommender.make_als(blocks=blocks), cores, fits) == expected
+
+
+def values_of(table):
+    return {(row["run"], row["metric"], row["split"]): row["value"] for row in table.collect()}
+
+
+@pytest.mark.parametrize("parallelism", [1, 3])
+def test_holdout_search(als, ratings, parallelism):
+    grid = tuning.param_grid(als, ranks=(4,), reg_params=(5.0, 0.1))
+    found = tuning.holdout_search(als, ratings, grid, parallelism=parallelism)
+    values = values_of(found.metrics)
+    assert found.best == grid[1] and found.cv_model is None
+    errors = [values[(tuning.describe(params), "rmse", "validation")] for params in grid]
+    assert errors[1] == min(errors) == values[("best", "rmse", "validation")]
+
+    # By hand: the same parts, the same model.
+    train, _, test = hash_split(ratings, [0.8, 0.1, 0.1], KEYS)
+    predicted = recommender.predict(recommender.fit(als, train, grid[1]), test)
+    assert values[("best", "rmse", "test")] == pytest.approx(tuning.evaluator().evaluate(predicted), abs=1e-4)
+    base = metrics.baseline_rmse(train, test).first()[0]
+    assert values[("baseline", "rmse", "test")] == pytest.approx(base)
+    assert values[("best", "improvement_percent", "test")] == pytest.approx(
+        (base - values[("best", "rmse", "test")]) / base * 100
+    )
+    assert values[("best", "rmse", "test")] < 0.5 * base
+
+
+def test_nothing_is_left_in_memory(spark, als, ratings):
+    before = {key for key in spark.sparkContext._jsc.getPersistentRDDs()}
+    grid = tuning.param_grid(als, ranks=(2,), reg_params=(0.1,))
+    frame = ratings.where("userId > 0")
+    tuning.holdout_search(als, frame, grid)
+    assert not frame.storageLevel.useMemory
+    cached = spark.sparkContext._jsc.getPersistentRDDs()
+    names = [cached[key].name() for key in cached if key not in before]
+    assert not any(name and "split" in name for name in names)
+
+
+def test_search_without_validation_rows(spark, als):
+    one = spark.createDataFrame([(1, 1, 3.0)], "userId int, movieId int, rating float")
+    with pytest.raises(Exception):
+        tuning.holdout_search(als, one, tuning.param_grid(als, (2,), (0.1,)))
+
+
+def test_cross_validated_search(als, ratings, tmp_path):
+    grid = tuning.param_grid(als, ranks=(4,), reg_params=(5.0, 0.1))
+    found = tuning.cross_validated_search(als, ratings, grid, folds=3, parallelism=3)
+    values = values_of(found.metrics)
+    assert found.best == grid[1]
+    assert [values[(tuning.describe(params), "mean_rmse", "folds")] for params in grid] == pytest.approx(
+        found.cv_model.avgMetrics
+    )
+    assert values[("best", "rmse", "test")] < 0.5 * values[("baseline", "rmse", "test")]
+    train, test = hash_split(ratings, [0.9, 0.1], KEYS)
+    assert values[("best", "rmse", "train")] == pytest.approx(
+        tuning.evaluator().evaluate(found.cv_model.transform(train)), abs=1e-6
+    )
+
+    path = str(tmp_path / "cv")
+    found.cv_model.write().overwrite().save(path)
+    loaded = CrossValidatorModel.load(path)
+    assert tuning.evaluator().evaluate(loaded.transform(test)) == pytest.approx(values[("best", "rmse", "test")])
+    assert loaded.avgMetrics == pytest.approx(found.cv_model.avgMetrics)
