@@ -6,6 +6,7 @@ import argparse
 
 from tallymill.plans import recommender, reports, runs, sampler, tuning
 from tallymill.session import build_session
+from tallymill.sources import readers
 
 
 def parser() -> argparse.ArgumentParser:
@@ -32,6 +33,7 @@ def parser() -> argparse.ArgumentParser:
     movies.add_argument("movies")
     movies.add_argument("out")
     movies.add_argument("--user", type=int, help="show the unrated movies of this user")
+    movies.add_argument("--user-list", help="write that user's 100 best unrated movies to this path")
     movies.add_argument("--top", type=int, default=recommender.TOP_K)
     movies.add_argument("--max-iter", type=int, default=recommender.MAX_ITER)
     movies.add_argument("--blocks", type=int, help="parallelism of a fit; by default from the data and the cluster")
@@ -75,6 +77,9 @@ def main(argv: list[str] | None = None) -> None:
             run.predicted.show(20, truncate=False)
             print(f"unrated movies of user {args.user}, from the shared recommendations")
             run.recommended.show(20, truncate=False)
+            if args.user_list:
+                ratings, movies = readers.read_ratings(spark, args.ratings), readers.read_movies(spark, args.movies)
+                runs.write_user_list(run, args.user, ratings, movies, args.user_list)
 
 
 if __name__ == "__main__":

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.param import Param
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
@@ -179,10 +180,9 @@ def _small_item_factors(model: ALSModel) -> tuple[np.ndarray, np.ndarray] | None
     count = model.itemFactors.count()
     if count * model.rank * 4 > BROADCAST_BYTES:
         return None
-    table = model.itemFactors.orderBy("id").toPandas()
-    ids = table["id"].to_numpy(dtype=np.int32)
-    factors = np.array(table["features"].tolist(), dtype=np.float32).reshape(len(ids), model.rank)
-    return ids, factors
+    table = model.itemFactors.orderBy("id").toArrow().combine_chunks()
+    flat = pa.concat_arrays(table["features"].chunks).flatten()
+    return table["id"].to_numpy(), flat.to_numpy().reshape(count, model.rank)
 
 
 def _score_users(wanted: DataFrame, items: tuple[np.ndarray, np.ndarray]) -> DataFrame:

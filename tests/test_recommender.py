@@ -131,6 +131,14 @@ def test_heavy_user_still_gets_everything(spark, model, ratings, scores, way):
     assert_best(found.collect(), scores, 25, rated)
 
 
+def test_recommend_unrated_has_no_product(model, ratings, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = plan_of(recommender.recommend_unrated(model, ratings))
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    # Groups are cut before they are shuffled by user.
+    assert plan.count("WindowGroupLimit") == 2
+
+
 def test_recommend_unrated_for_some(spark, model, ratings, scores, way):
     users = spark.createDataFrame([(3,), (5,), (5,), (999_999,)], "userId int")
     found = recommender.recommend_unrated(model, ratings, 5, users)

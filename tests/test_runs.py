@@ -87,8 +87,14 @@ def test_command_line(spark, inputs, tmp_path, capsys):
 
     cli.main(
         ["recommend", "ALS", *inputs, str(tmp_path / "rec"), "--user", "3", "--max-iter", "2", "--ranks", "2",
-         "--reg-params", "0.1", "--top", "3"]
+         "--reg-params", "0.1", "--top", "3", "--user-list", str(tmp_path / "list")]
     )
+    files = [name for name in os.listdir(tmp_path / "list") if name.startswith("part-")]
+    assert len(files) == 1
+    lines = (tmp_path / "list" / files[0]).read_text().splitlines()
+    ratings = [float(line.rsplit(",", 1)[1]) for line in lines]
+    assert len(lines) == 100 and ratings == sorted(ratings, reverse=True)
+    assert all(line.split(",")[-2] == "3" for line in lines)
     printed = capsys.readouterr().out
     assert "best parameters: rank=2, regParam=0.1" in printed and "improvement_percent" in printed
     assert printed.count("unrated movies of user 3") == 2
