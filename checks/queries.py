@@ -51,6 +51,13 @@ def _model(spark: SparkSession, sf: str, rows: str) -> ALSModel:
     return _models[key]
 
 
+def _written(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the shared folder, for queries that use it several times."""
+    path = working_path(spark, name)
+    writers.write_table(frame, path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 def _user_ratings(spark: SparkSession, sf: str) -> tuple[int, DataFrame]:
     ratings = stand_ins.planted_ratings(spark, sf)
     user = recommender.most_active_user(ratings)
@@ -302,9 +309,8 @@ def stratified_sample_hash(spark, sf):
 
 
 def stratified_sample_exact(spark, sf):
-    return sampling.stratified_sample_exact(
-        stand_ins.ratings(spark, sf), "userId", sampler.RATIO, KEYS, "sample-42"
-    )
+    ratings = _written(spark, stand_ins.ratings(spark, sf), "ratings")
+    return sampling.stratified_sample_exact(ratings, "userId", sampler.RATIO, KEYS, "sample-42")
 
 
 def sampled_ratings_file(spark, sf):
@@ -455,7 +461,7 @@ def top_n_for_user(spark, sf):
 
 def recommend_unrated_all(spark, sf):
     """Per user: number of unrated items recommended, and how many of them are rated after all."""
-    ratings = stand_ins.planted_ratings(spark, sf)
+    ratings = _written(spark, stand_ins.planted_ratings(spark, sf), "planted")
     recommended = recommender.recommend_unrated(_model(spark, sf, "all"), ratings)
     rated = ratings.select(*KEYS, F.lit(1).alias("rated"))
     return recommended.join(rated, KEYS, "left").groupBy("userId").agg(
@@ -465,7 +471,7 @@ def recommend_unrated_all(spark, sf):
 
 def recommend_user_subset(spark, sf):
     """The same for a set of users: the customers of one market segment."""
-    ratings = stand_ins.planted_ratings(spark, sf)
+    ratings = _written(spark, stand_ins.planted_ratings(spark, sf), "planted")
     members = stand_ins.table(spark, sf, "customer").where(F.col("c_mktsegment") == "BUILDING")
     users = members.select(F.col("c_custkey").cast("int").alias("userId"))
     recommended = recommender.recommend_unrated(_model(spark, sf, "all"), ratings, users=users)

@@ -41,7 +41,10 @@ def stratified_sample(
     map of strata, no shuffle, and the whole sample is a filter on the scan.
     """
     _check_fraction(fraction)
-    kept = hash_bucket(seed, *keys, buckets=buckets) < round(fraction * buckets)
+    bound = round(fraction * buckets)
+    if abs(bound - fraction * buckets) > 1e-6:
+        raise ValueError(f"{buckets} buckets are too coarse for the fraction {fraction}")
+    kept = hash_bucket(seed, *keys, buckets=buckets) < bound
     return df.where(F.col(stratum).isNotNull() & kept)
 
 

@@ -101,8 +101,10 @@ def recommend_unrated(
     items = _small_item_factors(model)
     if items is not None:
         # Adaptive execution sizes partitions by bytes, but scoring costs far more than its input.
+        # A fixed count is not merged; a key other than the join's keeps this shuffle from being
+        # taken for a repetition of the join's and dropped.
         tasks = max(wanted.sparkSession.sparkContext.defaultParallelism, model.userFactors.rdd.getNumPartitions())
-        scored = _score_users(wanted.repartition(tasks, "id"), items)
+        scored = _score_users(wanted.repartition(tasks, F.xxhash64("id")), items)
     else:
         scored = _recommend_in_tiers(model, wanted)
     unrated = exclude_keys(scored, ratings, [USER, ITEM])

@@ -137,6 +137,17 @@ def test_recommend_unrated_has_no_product(model, ratings, setting):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     # Groups are cut before they are shuffled by user.
     assert plan.count("WindowGroupLimit") == 2
+    assert "REPARTITION_BY_NUM" in plan
+
+
+def test_scoring_uses_all_cores(spark, model, ratings, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    found = recommender.recommend_unrated(model, ratings)
+    found.collect()
+    final = plan_of(found).split("Initial Plan")[0]
+    # The stage below the scoring is read as it was written.
+    below = final.split("MapInPandas")[1].split("Exchange")[0]
+    assert "AQEShuffleRead" not in below
 
 
 def test_recommend_unrated_for_some(spark, model, ratings, scores, way):

@@ -74,6 +74,13 @@ def test_bad_fraction(ratings, fraction):
         sampling.stratified_sample(ratings, "userId", fraction, KEYS)
 
 
+def test_fraction_finer_than_the_buckets(ratings):
+    with pytest.raises(ValueError, match="too coarse"):
+        sampling.stratified_sample(ratings, "userId", 0.00001, KEYS)
+    fine = sampling.stratified_sample(ratings, "userId", 0.00001, KEYS, buckets=100_000)
+    assert fine.count() <= 3
+
+
 def test_sample_by_fractions_drops_other_strata(ratings):
     sample = sampling.sample_by_fractions(ratings, "userId", {1: 0.5, 2: 1.0})
     users = {row["userId"] for row in sample.collect()}
