@@ -72,12 +72,16 @@ def recommend_all(model: ALSModel, k: int = TOP_K) -> DataFrame:
     """The ``k`` best items of every user as flat ``(userId, movieId, rating)`` rows.
 
     Every user is scored against every item. While the item factors are small enough to be
-    broadcast, each partition of users does so on its own and nothing is shuffled.
+    broadcast, each partition of users does so on its own. Only a model with fewer user blocks than
+    cores has its user factors spread first.
     """
     items = _small_item_factors(model)
     if items is None:
         return flatten_nested(model.recommendForAllUsers(k), USER, ITEM, RATING)
     wanted = model.userFactors.select("id", "features", F.lit(k).alias("wanted"))
+    tasks = _scoring_tasks(model)
+    if wanted.rdd.getNumPartitions() < tasks:
+        wanted = wanted.repartition(tasks, "id")
     return _score_users(wanted, items)
 
 
@@ -103,8 +107,7 @@ def recommend_unrated(
         # Adaptive execution sizes partitions by bytes, but scoring costs far more than its input.
         # A fixed count is not merged; a key other than the join's keeps this shuffle from being
         # taken for a repetition of the join's and dropped.
-        tasks = max(wanted.sparkSession.sparkContext.defaultParallelism, model.userFactors.rdd.getNumPartitions())
-        scored = _score_users(wanted.repartition(tasks, F.xxhash64("id")), items)
+        scored = _score_users(wanted.repartition(_scoring_tasks(model), F.xxhash64("id")), items)
     else:
         scored = _recommend_in_tiers(model, wanted)
     unrated = exclude_keys(scored, ratings, [USER, ITEM])
@@ -177,6 +180,11 @@ def publish(recommendations: DataFrame, path: str, mode: str = "errorifexists")
     clustered.write.mode(mode).parquet(path)
 
 
+def _scoring_tasks(model: ALSModel) -> int:
+    cores = model.userFactors.sparkSession.sparkContext.defaultParallelism
+    return max(cores, model.userFactors.rdd.getNumPartitions())
+
+
 def _small_item_factors(model: ALSModel) -> tuple[np.ndarray, np.ndarray] | None:
     """Item ids in ascending order and their factors, or None if they exceed the size limit."""
     count = model.itemFactors.count()

@@ -95,8 +95,12 @@ def test_recommend_all(model, scores, way, k):
     assert assert_best(found.collect(), scores, k) == set(scores)
 
 
-def test_recommend_all_shuffles_nothing(model):
-    assert "Exchange" not in plan_of(recommender.recommend_all(model))
+def test_recommend_all_shuffles_no_scores(spark, model, ratings):
+    """Nothing is shuffled above the scoring, and nothing at all if there are blocks enough."""
+    assert "Exchange" not in plan_of(recommender.recommend_all(model)).split("MapInPandas")[0]
+    cores = spark.sparkContext.defaultParallelism
+    many = recommender.fit(recommender.make_als(max_iter=1, rank=2, blocks=cores), ratings)
+    assert "Exchange" not in plan_of(recommender.recommend_all(many))
 
 
 def test_blocks_of_users_do_not_matter(model, scores, monkeypatch):
