@@ -23,11 +23,9 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 def _plain(value):
     if isinstance(value, Decimal):
-        value = float(value)
-    if isinstance(value, bool) or value is None:
-        return str(value)
+        value = int(value) if value == int(value) else float(value)
     if isinstance(value, float):
-        return f"{value:.6g}" if value != int(value) else str(int(value))
+        return repr(value)
     return str(value)
 
 
