@@ -94,8 +94,11 @@ def single_pass_reports(base: DataFrame, limit: int = LIMIT) -> DataFrame:
         .groupBy("report", "key1", "key2")
         .agg(F.sum("n").alias("n"))
     )
-    # Keys of one column compare as text here; a numeric key of several digits would need padding.
-    order = [F.desc("n"), F.asc_nulls_last("key1"), F.asc_nulls_last("key2")]
+    # All keys share text columns here, so numeric ones are compared as numbers first.
+    types = dict(base.dtypes)
+    numeric = [report.name for report in REPORTS if types[report.keys[0]] != "string"]
+    as_number = F.when(F.col("report").isin(numeric), F.col("key1").cast("bigint"))
+    order = [F.desc("n"), as_number.asc_nulls_last(), F.asc_nulls_last("key1"), F.asc_nulls_last("key2")]
     position = F.row_number().over(Window.partitionBy("report").orderBy(*order))
     return (
         totals.withColumn("position", position)

@@ -50,6 +50,16 @@ def test_single_pass_equals_the_separate_reports(spark, flights, limit, generate
             assert [tuple(row) for row in restored.collect()] == [tuple(row) for row in separate.collect()]
 
 
+def test_numeric_keys_are_ordered_as_numbers(spark):
+    rows = [(2000, quarter, "10", "9", 0, 1) for quarter in (10, 9, 100, None)] + [(2000, 9, "9", "10", 0, 0)] * 4
+    schema = "year int, quarter int, origin string, dest string, depdelay int, cancelled int"
+    base = reports.report_base(spark.createDataFrame(rows, schema))
+    long_form = reports.single_pass_reports(base)
+    for report in reports.REPORTS:
+        separate = reports.build_report(base, report).collect()
+        assert reports.restore_report(long_form, report, dict(base.dtypes)).collect() == separate
+
+
 def test_published_first_rows(spark):
     base = reports.report_base(stand_ins.flights(spark, MEDIUM))
     assert base.count() == 16_025
