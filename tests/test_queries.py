@@ -13,7 +13,9 @@ def connection():
 
 
 def test_every_query_has_its_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys() == QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert contract.queries().keys() >= QUERIES.keys()
+    assert contract.oracle_sql().keys() <= contract.queries().keys()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
