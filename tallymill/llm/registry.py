@@ -5,11 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from tallymill.llm import chat, decontamination, line_dedup, mixing
+from tallymill.llm import chat, decontamination, html_text, language, line_dedup, mixing, personal_data
 from tallymill.llm.oracles import ORACLES  # noqa: F401
 from tallymill.llm.tables import load
 
 
+def op2_personal_data(spark, sf):
+    kinds = F.array(*[F.lit(kind) for kind in personal_data.KINDS])
+    shown = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", F.get(kinds, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    number = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    every = F.array_sort(F.concat("base", "added"))
+    return personal_data.found_spans(load(spark, sf, "documents")).select(
+        "doc_id",
+        *[number(at).alias(f"n_{kind}") for at, kind in enumerate(personal_data.KINDS)],
+        F.sha2(shown(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        shown(every).alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+    )
+
+
 def op3_benchmark_leaks(spark, sf):
     return decontamination.leaks(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
 
@@ -51,9 +67,27 @@ def op7_source_mix(spark, sf):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_main_text(spark, sf):
+    return html_text.main_texts(load(spark, sf, "pages"))
+
+
+def _held_out():
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def op10_language(spark, sf):
+    documents = load(spark, sf, "documents")
+    model = language.fit(documents.where(~_held_out()))
+    found = language.predicted(documents.select("doc_id", "text"), model)
+    return found.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
+    "op2_personal_data": op2_personal_data,
     "op3_benchmark_leaks": op3_benchmark_leaks,
     "op4_line_dedup": op4_line_dedup,
     "op6_chat_format": op6_chat_format,
     "op7_source_mix": op7_source_mix,
+    "op9_main_text": op9_main_text,
+    "op10_language": op10_language,
 }
