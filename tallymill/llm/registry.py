@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from tallymill.llm import chat, decontamination, html_text, language, line_dedup, mixing, personal_data
+from tallymill.llm import chat, decontamination, embedding_dedup, html_text, language, line_dedup, mixing, personal_data
 from tallymill.llm.oracles import ORACLES  # noqa: F401
 from tallymill.llm.tables import load
 
 
+def op1_embedding_dedup(spark, sf):
+    return embedding_dedup.linked_vectors(load(spark, sf, "embeddings").select("vec_id", "embedding"))
+
+
 def op2_personal_data(spark, sf):
     kinds = F.array(*[F.lit(kind) for kind in personal_data.KINDS])
     shown = lambda spans: F.array_join(
@@ -83,6 +87,7 @@ def op10_language(spark, sf):
 
 
 QUERIES = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_personal_data": op2_personal_data,
     "op3_benchmark_leaks": op3_benchmark_leaks,
     "op4_line_dedup": op4_line_dedup,
