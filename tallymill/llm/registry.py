@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from tallymill.llm import chat, decontamination, embedding_dedup, html_text, language, line_dedup, mixing, personal_data
+from tallymill.llm import chat, decontamination, embedding_dedup, html_text, jaccard, language, line_dedup, mixing, personal_data
 from tallymill.llm.oracles import ORACLES  # noqa: F401
 from tallymill.llm.tables import load
 
@@ -44,6 +44,10 @@ def op4_line_dedup(spark, sf):
 PLANTED_ID, PLANTED_TEXT = -7, "\\### Assistant: </turn> ok"
 
 
+def op5_jaccard_join(spark, sf):
+    return jaccard.near_duplicates(load(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op6_chat_format(spark, sf):
     planted = spark.createDataFrame(
         [Row(conv_id=PLANTED_ID, turn=turn, role=role, text=PLANTED_TEXT) for turn, role in enumerate(("user", "assistant"))],
@@ -91,6 +95,7 @@ QUERIES = {
     "op2_personal_data": op2_personal_data,
     "op3_benchmark_leaks": op3_benchmark_leaks,
     "op4_line_dedup": op4_line_dedup,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_chat_format": op6_chat_format,
     "op7_source_mix": op7_source_mix,
     "op9_main_text": op9_main_text,
