@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from tallymill.llm import chat, decontamination, embedding_dedup, html_text, jaccard, language, line_dedup, mixing, personal_data
+from tallymill.llm import chat, decontamination, embedding_dedup, html_text, jaccard, language, line_dedup, mixing, personal_data, substring_dedup
 from tallymill.llm.oracles import ORACLES  # noqa: F401
 from tallymill.llm.tables import load
+from tallymill.llm.text import word_array
 
 
 def op1_embedding_dedup(spark, sf):
@@ -75,6 +76,13 @@ def op7_source_mix(spark, sf):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_substring_dedup(spark, sf):
+    cleaned = substring_dedup.without_repeats(load(spark, sf, "documents").select("doc_id", "text"))
+    # The words of a text that lost none are still apart by any white space.
+    words = F.array_join(word_array(F.col("text")), " ")
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2(words.cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_main_text(spark, sf):
     return html_text.main_texts(load(spark, sf, "pages"))
 
@@ -98,6 +106,7 @@ QUERIES = {
     "op5_jaccard_join": op5_jaccard_join,
     "op6_chat_format": op6_chat_format,
     "op7_source_mix": op7_source_mix,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_main_text": op9_main_text,
     "op10_language": op10_language,
 }

@@ -24,7 +24,13 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*frames: DataFrame) -> None:
-    """Delete the files of frames made by :func:`stored` that no later step reads."""
+    """Delete the files of frames made by :func:`stored` that no later step reads.
+
+    Spark removes the shuffle files of finished steps once the driver has collected its garbage, which a large driver
+    puts off for long, so it is asked to.
+    """
+    if frames:
+        frames[0].sparkSession.sparkContext._jvm.System.gc()
     for frame in frames:
         spark = frame.sparkSession
         for file in frame.inputFiles():
