@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.llm.tables import components, discard, stored
-from tallymill.llm.text import run_hashes, shingle_hashes, word_hasher
+from tallymill.llm.text import WORD, run_hashes, shingle_hashes, word_hasher
 
 SHINGLE_WORDS = 5
 PERCENT = 75
@@ -326,12 +326,12 @@ def _by_pivots(members: DataFrame, measure, percent: int, leaf: int) -> DataFram
 
 
 def near_duplicates(documents: DataFrame, percent: int = PERCENT, leaf: int = LEAF) -> DataFrame:
-    """``doc_id, copy, n_shingles, component_id``: groups of documents connected by ``percent`` common shingles.
+    """``doc_id, copy, n_shingles, component_id, group``: groups of documents connected by ``percent`` common shingles.
 
     Words are runs without ASCII white space, ``A-Z`` in lower case. A document's set are the 64-bit hashes
     of its distinct runs of five words; fewer words are one run. Two documents link if 100 times their common shingles are at
     least ``percent`` times those of both. Without words or text a document links with nothing. ``component_id`` is the smallest
-    id that links lead to. Each row gives one row, repeated rows belong together, and ``copy`` (a hash of the text)
+    id that links lead to and ``group`` a number that the documents of a component share, null without words. Each row gives one row, repeated rows belong together, and ``copy`` (a hash of the text)
     tells rows of the same id apart. A null id is returned as it is and never names a component of others.
 
     1. Documents of equal sets are one class.
@@ -388,4 +388,25 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT, leaf: int = LE
         "copy",
         F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("low", "doc_id")).alias("component_id"),
+        "group",
     )
+
+
+def representatives(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``documents`` with one of each group of :func:`near_duplicates`: the smallest id, then ``copy``.
+
+    Rows that repeat id and text are one document. Documents without words stay, and so do columns and their names.
+    """
+    found = stored(near_duplicates(documents, percent).where("group IS NOT NULL"), "groups")
+    lowest = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "copy")).alias("first"))
+    kept = lowest.select(F.col("first.doc_id").alias("d"), F.col("first.copy").alias("c"))
+    own = documents.columns
+    packed = documents.select(
+        F.struct(*own).alias("row"),
+        F.col("doc_id").alias("id"),
+        F.coalesce(F.xxhash64("text"), F.lit(0)).alias("copy"),
+        F.coalesce(F.col("text").rlike(WORD), F.lit(False)).alias("worded"),
+    )
+    same = F.col("id").eqNullSafe(F.col("d")) & (F.col("copy") == F.col("c"))
+    joined = packed.join(kept, same, "left").where(~F.col("worded") | F.col("c").isNotNull())
+    return joined.dropDuplicates(["id", "copy"]).select("row.*")

@@ -42,10 +42,9 @@ def targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes: int =
         .withColumn("used", F.coalesce(F.sum("limit").over(before), F.lit(0.0)))
         .withColumn("spent", F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
         .withColumn("level", level)
-        # The first source that does not overflow sets the level for all that follow it.
-        .withColumn("fits", F.col("weight") * F.col("level") <= F.col("limit"))
-        .withColumn("shared", F.min(F.when(F.col("fits"), F.col("level"))).over(everything))
-        .withColumn("target", F.when(F.col("fits"), F.least(F.col("weight") * F.col("shared"), "limit")).otherwise(F.col("limit")))
+        # The level rises until the first source that does not overflow, which sets it for all that follow, and falls from there.
+        .withColumn("shared", F.max(F.when(F.col("weight") * F.col("level") <= F.col("limit"), F.col("level"))).over(everything))
+        .withColumn("target", F.least(F.col("weight") * F.col("shared"), "limit"))
         .select("source", "source_size", "rank", "target")
     )
 

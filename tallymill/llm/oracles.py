@@ -75,7 +75,7 @@ WITH RECURSIVE sized AS (
   FROM totals WINDOW b AS (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), aims AS (
   SELECT source, source_size, rank,
-    CASE WHEN weight * level <= cap THEN least(weight * min(level) FILTER (weight * level <= cap) OVER (), cap) ELSE cap END AS target
+    least(weight * max(level) FILTER (weight * level <= cap) OVER (), cap) AS target
   FROM leveled
 ), seats AS (SELECT *, round(sum(source_size) OVER () / {BLOCK_WORDS})::BIGINT AS seats FROM aims),
 source_ranked AS (
