@@ -59,12 +59,12 @@ def apportioned(claims: DataFrame, group: list[str], key: str, weight: str, seat
     """
     whole = Window.partitionBy(*group)
     half = F.col("n") / 2
-    lowest = F.floor(F.col(weight) * (F.col(seats) - half) / F.col("W") - 1.5)
-    highest = F.ceil(F.col(weight) * (F.col(seats) + half) / F.col("W") + 1.5)
+    lowest = F.floor(F.col(weight) * (F.col(seats) - half) / F.col("all_weights") - 1.5)
+    highest = F.ceil(F.col(weight) * (F.col(seats) + half) / F.col("all_weights") + 1.5)
     bounded = (
         claims.where(F.col(weight) > 0)
         .withColumn("n", F.count("*").over(whole))
-        .withColumn("W", F.sum(F.col(weight).cast("double")).over(whole))
+        .withColumn("all_weights", F.sum(F.col(weight).cast("double")).over(whole))
         .withColumn("low", F.greatest(F.lit(0), F.least(lowest, F.col(seats))).cast("long"))
         .withColumn("high", F.greatest(F.lit(0), highest).cast("long"))
         .withColumn("left", F.col(seats) - F.sum("low").over(whole))
