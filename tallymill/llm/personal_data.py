@@ -17,14 +17,15 @@ from tallymill.llm.tables import discard, stored
 KINDS = ("email", "ip", "card", "phone")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_IP = re.compile(r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
+_IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 CARD_DIGITS, PHONE_DIGITS = (16, 19), (8, 15)
 
 # What an unseen identifier may look like: one word with a digit or an at sign.
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_CANDIDATE = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
+_SIGN = re.compile(r"[0-9@]")
+_SPACE = " \t\n\v\f\r"
 _EDGES = ".,;:!?()[]{}<>\"'|"
 CONTEXT_CHARS = 80
 
@@ -101,9 +102,14 @@ def contexts(text: str, start: int, end: int) -> list[int]:
 def candidates(text: str, taken: list[tuple[int, int, int]]) -> Iterator[Span]:
     """Identifier-like words that touch no base span, without the signs around them."""
     spans = sorted((start, end) for _, start, end in taken)
-    at = 0
-    for match in _CANDIDATE.finditer(text):
-        start, end = match.span()
+    at = done = 0
+    for sign in _SIGN.finditer(text):
+        start = sign.start()
+        if start < done:
+            continue
+        while start > done and text[start - 1] not in _SPACE:
+            start -= 1
+        end = done = _WORD.match(text, sign.start()).end()
         while start < end and text[start] in _EDGES:
             start += 1
         while end > start and text[end - 1] in _EDGES:
