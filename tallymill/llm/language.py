@@ -47,45 +47,63 @@ class Model:
         for label, kind, gram, count in counts:
             raw[kind].setdefault(gram, np.zeros(len(self.labels)))[place[label]] += count
             totals[kind, place[label]] += count
-        self.tables = [
-            {gram: np.log((found + 0.5) / (totals[kind] + 0.5 * (len(table) + 1))) for gram, found in table.items()}
-            for kind, table in enumerate(raw)
-        ]
-
-    def word(self, word: str) -> np.ndarray:
-        """Scores of a word: its own if it is known, else the mean of its longest known n-grams."""
-        known = self.tables[0].get(word)
-        if known is not None:
-            return known
-        for length in range(LONGEST_GRAM, 0, -1):
-            table = self.tables[length]
-            found = [table[gram] for gram in grams_of(word, length) if gram in table]
+        self.tables: list[dict[str, int]] = []
+        rows = [np.zeros(len(self.labels))]
+        for kind, table in enumerate(raw):
+            self.tables.append({gram: len(rows) + at for at, gram in enumerate(table)})
+            rows += [np.log((found + 0.5) / (totals[kind] + 0.5 * (len(table) + 1))) for found in table.values()]
+        # Row 0 is for words of which nothing is known.
+        self.rows = np.array(rows)
+
+    def places_of(self, word: str) -> list[int]:
+        """Rows whose mean scores a word: its own if it is known, else those of its longest known n-grams."""
+        own = self.tables[0].get(word)
+        if own is not None:
+            return [own]
+        marked = f"^{word}$"
+        for length in range(LONGEST_GRAM, 1, -1):
+            known = self.tables[length].get
+            found = [at for i in range(len(marked) - length + 1) if (at := known(marked[i : i + length])) is not None]
             if found:
-                return np.mean(found, axis=0)
-        return np.zeros(len(self.labels))
+                return found
+        return [at for char in word if (at := self.tables[1].get(char)) is not None] or [0]
+
+    def scores_of(self, words: list[str]) -> np.ndarray:
+        places = [self.places_of(word) for word in words]
+        sizes = np.array([len(own) for own in places])
+        starts = np.cumsum(sizes) - sizes
+        return np.add.reduceat(self.rows[[at for own in places for at in own]], starts) / sizes[:, None]
 
 
 class Predictor:
-    """Applies a model; remembers the scores of a bounded number of words."""
+    """Applies a model. Remembers the scores of a bounded number of words, also for later tasks of the same worker."""
 
     def __init__(self, model: Model):
-        self.model, self.places, self.scores = model, {}, []
+        self.model = model
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places: dict[str, int] = {}
+        self.scores = np.empty((1024, len(self.model.labels)))
 
-    def _place(self, word: str) -> int:
-        if len(self.scores) >= _MEMO_ENTRIES:
-            self.places, self.scores = {}, []
-        self.places[word] = len(self.scores)
-        self.scores.append(self.model.word(word))
-        return self.places[word]
+    def _learn(self, words: list[str]) -> None:
+        done = len(self.places)
+        while done + len(words) > len(self.scores):
+            self.scores = np.concatenate([self.scores, np.empty_like(self.scores)])
+        self.scores[done : done + len(words)] = self.model.scores_of(words)
+        self.places.update(zip(words, range(done, done + len(words)), strict=True))
 
     def __call__(self, text: str | None) -> tuple[str, float]:
         words = letters_of(text) if text else []
         if not words or not self.model.labels:
             return UNKNOWN, 0.0
-        total, counted = np.zeros(len(self.model.labels)), Counter(words)
-        for word, count in counted.items():
-            at = self.places.get(word)
-            total += count * self.scores[self._place(word) if at is None else at]
+        if len(self.places) > _MEMO_ENTRIES:
+            self._forget()
+        counted, places = Counter(words), self.places
+        fresh = [word for word in counted if word not in places]
+        if fresh:
+            self._learn(fresh)
+        total = np.fromiter(counted.values(), np.float64, len(counted)) @ self.scores[[places[word] for word in counted]]
         odds = total / len(words) * min(len(words), WEIGHED_WORDS)
         shares = np.exp(odds - odds.max())
         best = int(shares.argmax())
@@ -148,13 +166,13 @@ def predicted(documents: DataFrame, model: Model) -> DataFrame:
     the input by these two names are replaced.
     """
     spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(Predictor(model))
     own = [name for name in documents.columns if name not in ("lang_pred", "score")]
     frame = documents.select(*own)
     at = own.index("text")
 
     def predict(batches):
-        predictor = Predictor(shared.value)
+        predictor = shared.value
         for batch in batches:
             found = [predictor(text) for text in batch.column(at).to_pylist()]
             labels, scores = [x for x, _ in found], [y for _, y in found]
