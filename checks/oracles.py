@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tallymill.plans.tuning import RANKS, REG_PARAMS
+
 FLIGHTS = """flights AS (
   SELECT CAST(year(l_shipdate) AS INT) AS year, CAST(quarter(l_shipdate) AS INT) AS quarter,
          sn.n_name AS origin, cn.n_name AS dest,
@@ -90,7 +92,7 @@ LONG_REPORTS = f"WITH {BASE}, every_report AS (" + "\nUNION ALL ".join(
 REPORT_FILES = LONG_REPORTS + "SELECT report, key1, key2, n FROM every_report WHERE position <= 10"
 
 # What depends on training is checked within the query; 1 means that the check holds.
-GRID = ("rank=4, regParam=0.1", "rank=4, regParam=0.01")
+GRID = tuple(f"rank={rank}, regParam={reg}" for rank in RANKS for reg in REG_PARAMS)
 
 
 def grid_rows(metric: str, split: str, value: str) -> list[str]:
@@ -124,8 +126,7 @@ UNION ALL {metric_row('baseline', 'mean_rating', 'train', 'round((SELECT avg(CAS
 UNION ALL {metric_row('baseline', 'rmse', 'test', f'round({BASELINE}, 6)')}""",
     "flight_base": f"WITH {BASE} SELECT * FROM base",
     "user_ratings": f"WITH {ACTIVE} SELECT * FROM rated",
-    "explode_user_movies": f"""WITH {RATINGS} SELECT * FROM ratings
-QUALIFY row_number() OVER (PARTITION BY userId ORDER BY rating DESC, movieId) <= 25""",
+    "explode_user_movies": f"WITH {RATINGS} SELECT * FROM ratings",
     "stringify_array": """SELECT CAST(p_partkey AS INT) AS id, '[' || p_type || ',' || p_brand || ',' ||
   CASE WHEN p_size >= 10 THEN CAST(p_size AS VARCHAR) ELSE 'null' END || ']' AS properties FROM part""",
     "unique_id": "SELECT count(*) AS rows, count(*) AS ids, CAST(0 AS BIGINT) AS negative FROM lineitem",
@@ -172,6 +173,8 @@ SELECT round(base, 6) AS baseline_rmse, round(value, 6) AS item_mean_rmse,
     "topk_movies_per_user": f"""WITH {RATINGS}
 SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY userId ORDER BY rating DESC, movieId) AS INT)
   AS position FROM ratings) WHERE position <= 25""",
+    "topk_beyond_group_limit": """SELECT l_returnflag, l_orderkey, l_linenumber, l_quantity FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_returnflag ORDER BY l_quantity DESC, l_orderkey, l_linenumber) <= 1500""",
     "sample_by_fractions": f"""WITH {RATINGS}
 SELECT CAST(rating AS DOUBLE) AS rating, count(*) AS rows, TRUE AS plausible FROM ratings GROUP BY rating""",
     "stratified_sample_hash": f"WITH {RATINGS} SELECT * FROM ratings WHERE {bucket('sample-42', 10000)} < 500",
@@ -180,6 +183,12 @@ SELECT userId, movieId, rating FROM (
   SELECT *, count(*) OVER (PARTITION BY userId) AS n,
     row_number() OVER (PARTITION BY userId ORDER BY md5(concat_ws('-', 'sample-42', userId, movieId)),
                        userId, movieId) AS place FROM ratings)
+WHERE place <= ceil(CAST(0.05 AS DECIMAL(19, 10)) * n)""",
+    "stratified_sample_sliced": f"""WITH {RATINGS}
+SELECT userId, movieId, rating, half FROM (
+  SELECT *, userId % 2 AS half, count(*) OVER (PARTITION BY userId % 2) AS n,
+    row_number() OVER (PARTITION BY userId % 2 ORDER BY md5(concat_ws('-', 'sample-42', userId, movieId)),
+                       userId, movieId) AS place FROM ratings)
 WHERE place <= ceil(CAST(0.05 AS DECIMAL(19, 10)) * n)""",
     "sampled_ratings_file": f"WITH {RATINGS} SELECT * FROM ratings WHERE {bucket('sample-42', 10000)} < 500",
     "split3_hash": f"WITH {RATINGS} SELECT *, {SPLIT3} AS split FROM ratings",
@@ -198,22 +207,29 @@ SELECT DISTINCT userId, least(25, (SELECT count(DISTINCT movieId) FROM planted))
     "recommend_all_by_model": f"""WITH {PLANTED}
 SELECT DISTINCT userId, least(25, (SELECT count(DISTINCT movieId) FROM planted)) AS items,
   CAST(0 AS BIGINT) AS different FROM planted""",
+    "recommend_block_sizes": f"""WITH {PLANTED}
+SELECT DISTINCT userId, least(25, (SELECT count(DISTINCT movieId) FROM planted)) AS items,
+  CAST(0 AS BIGINT) AS different FROM planted""",
+    "published_recommendations": f"""WITH {PLANTED}
+SELECT DISTINCT userId, least(25, (SELECT count(DISTINCT movieId) FROM planted)) AS items,
+  CAST(1 AS BIGINT) AS files FROM planted""",
     "unrated_prediction_user": f"""WITH {ACTIVE}, {MOVIES}
 SELECT id AS movieId, title, genres, (SELECT userId FROM active) AS userId, TRUE AS as_predicted FROM movies
 WHERE id IN (SELECT movieId FROM planted) AND id NOT IN (SELECT movieId FROM rated)""",
     "unrated_recommendation_user": f"""WITH {ACTIVE}
 SELECT userId, least(25, (SELECT count(DISTINCT movieId) FROM planted)) AS recommended,
   CAST(0 AS BIGINT) AS still_rated FROM active""",
-    "paths_agree": f"WITH {ACTIVE} SELECT userId, CAST(0 AS BIGINT) AS different FROM active",
+    "paths_agree": f"WITH {PLANTED} SELECT DISTINCT userId, CAST(0 AS BIGINT) AS different FROM planted",
     "top_n_for_user": f"""WITH {ACTIVE}
 SELECT userId, least(100, (SELECT count(DISTINCT movieId) FROM planted) - (SELECT count(*) FROM rated)) AS movies,
   TRUE AS none_better_left_out FROM active""",
     "recommend_unrated_all": f"""WITH {PLANTED}
 SELECT userId, least(25, (SELECT count(DISTINCT movieId) FROM planted) - count(*)) AS items,
-  CAST(0 AS BIGINT) AS still_rated FROM planted GROUP BY userId
+  CAST(0 AS BIGINT) AS still_rated, CAST(0 AS BIGINT) AS different FROM planted GROUP BY userId
 HAVING count(*) < (SELECT count(DISTINCT movieId) FROM planted)""",
     "recommend_user_subset": f"""WITH {PLANTED}
-SELECT userId, least(25, (SELECT count(DISTINCT movieId) FROM planted) - count(*)) AS items
+SELECT userId, least(25, (SELECT count(DISTINCT movieId) FROM planted) - count(*)) AS items,
+  CAST(0 AS BIGINT) AS still_rated, CAST(0 AS BIGINT) AS different
 FROM planted JOIN customer ON userId = c_custkey WHERE c_mktsegment = 'BUILDING' GROUP BY userId
 HAVING count(*) < (SELECT count(DISTINCT movieId) FROM planted)""",
     "holdout_grid_metrics": f"WITH {PLANTED}, {labelled('planted')}\n"
@@ -239,4 +255,11 @@ HAVING count(*) < (SELECT count(DISTINCT movieId) FROM planted)""",
             metric_row("baseline", "rmse", "test", f"round({BASELINE}, 6)"),
         ]
     ),
+    "pipeline_holdout": f"""WITH {PLANTED}
+SELECT CAST(0 AS BIGINT) AS wrong_unrated, count(DISTINCT userId) AS users,
+  count(DISTINCT userId) * least(25, (SELECT count(DISTINCT movieId) FROM planted)) AS recommended, TRUE AS model_beats_mean FROM planted""",
+    "pipeline_cv": f"""WITH {PLANTED}
+SELECT CAST(0 AS BIGINT) AS wrong_unrated, count(DISTINCT userId) AS users,
+  count(DISTINCT userId) * least(25, (SELECT count(DISTINCT movieId) FROM planted)) AS recommended, TRUE AS model_beats_mean,
+  TRUE AS cv_model_beats_mean FROM planted""",
 }

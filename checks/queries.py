@@ -9,13 +9,14 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml.recommendation import ALSModel
+from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymill.functions import ids, metrics
 from tallymill.functions.text import stringify_array
 from tallymill.operators import caching, ranking, sampling, sets
-from tallymill.plans import recommender, reports, sampler, stand_ins, tuning
+from tallymill.plans import recommender, reports, runs, sampler, stand_ins, tuning
 from tallymill.session import working_path
 from tallymill.sources import readers, writers
 
@@ -152,8 +153,12 @@ def user_ratings(spark, sf):
 
 
 def explode_user_movies(spark, sf):
-    nested = ranking.nest_top_k(
-        stand_ins.ratings(spark, sf), "userId", "movieId", "rating", recommender.TOP_K
+    """All ratings, nested per user and hundred of movies, so that no array grows with a user, and flattened again."""
+    entry = F.struct("movieId", "rating")
+    nested = (
+        stand_ins.ratings(spark, sf)
+        .groupBy("userId", F.floor(F.col("movieId") / 100).alias("hundred"))
+        .agg(F.collect_list(entry).alias("recommendations"))
     )
     return ranking.flatten_nested(nested, "userId", "movieId", "rating")
 
@@ -173,12 +178,12 @@ def _id_figures(frame, name):
 
 
 def unique_id(spark, sf):
-    items = stand_ins.table(spark, sf, "lineitem").select("l_orderkey")
+    items = stand_ins.table(spark, sf, "lineitem").select("l_orderkey").repartition(7)
     return _id_figures(ids.with_unique_id(items), "unique_id")
 
 
 def unique_id_prepended(spark, sf):
-    numbered = ids.prepend_unique_id(stand_ins.table(spark, sf, "lineitem").select("l_orderkey"))
+    numbered = ids.prepend_unique_id(stand_ins.table(spark, sf, "lineitem").select("l_orderkey").repartition(7))
     if numbered.columns[0] != "id":
         raise AssertionError("the id is not the first column")
     return _id_figures(numbered, "id")
@@ -284,6 +289,12 @@ def topk_movies_per_user(spark, sf):
     )
 
 
+def topk_beyond_group_limit(spark, sf):
+    """More rows per group than the optimizer cuts in each task."""
+    items = stand_ins.table(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_quantity")
+    return ranking.top_k_per_group(items, ["l_returnflag"], "l_quantity", ["l_orderkey", "l_linenumber"], 1500)
+
+
 # Sampling and splitting -----------------------------------------------------------------------
 
 
@@ -313,6 +324,13 @@ def stratified_sample_exact(spark, sf):
     return sampling.stratified_sample_exact(ratings, "userId", sampler.RATIO, KEYS, "sample-42")
 
 
+def stratified_sample_sliced(spark, sf):
+    """The same with strata cut into slices of the digest range."""
+    ratings = _written(spark, stand_ins.ratings(spark, sf), "ratings")
+    strata = ratings.withColumn("half", F.col("userId") % 2)
+    return sampling.stratified_sample_exact(strata, "half", sampler.RATIO, KEYS, "sample-42", rows_per_slice=2000)
+
+
 def sampled_ratings_file(spark, sf):
     out = working_path(spark, "sample")
     sampler.sample_ratings(spark, _csv_ratings(spark, sf, "ratings"), out)
@@ -417,9 +435,33 @@ def unrated_prediction_user(spark, sf):
     )
 
 
+def _published(spark, frame):
+    path = working_path(spark, "published")
+    recommender.publish(frame, path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def published_recommendations(spark, sf):
+    """The shared table read back: items per user, and users out of order or in several files."""
+    shared = _published(spark, recommender.recommend_all(_model(spark, sf, "all")))
+    return shared.withColumn("file", F.input_file_name()).groupBy("userId").agg(
+        F.count("*").alias("items"), F.countDistinct("file").alias("files")
+    )
+
+
+def recommend_block_sizes(spark, sf):
+    """Rows that differ between blocks of about 70 items and a single block."""
+    model = _model(spark, sf, "all")
+    one = recommender.recommend_all(model).withColumn("one", F.lit(1))
+    other = recommender.recommend_all(model, block_items=70).withColumn("other", F.lit(1))
+    return one.join(other, ["userId", "movieId", "rating"], "full").groupBy("userId").agg(
+        F.count("one").alias("items"), F.count_if(F.col("one").isNull() | F.col("other").isNull()).alias("different")
+    )
+
+
 def unrated_recommendation_user(spark, sf):
     user, rated = _user_ratings(spark, sf)
-    shared = recommender.recommend_all(_model(spark, sf, "all"))
+    shared = _published(spark, recommender.recommend_all(_model(spark, sf, "all")))
     movies = stand_ins.movies(spark, sf)
     left = recommender.unrated_recommendations(shared, user, rated, movies)
     own = shared.where(F.col("userId") == user)
@@ -431,19 +473,31 @@ def unrated_recommendation_user(spark, sf):
     ).withColumn("still_rated", still_rated.agg(F.count("*")).scalar())
 
 
+def _place():
+    return F.row_number().over(Window.partitionBy("userId").orderBy(F.desc("rating"), "movieId"))
+
+
+def _unrated_by_model(model, ratings):
+    """The library's scores of all unrated items, best first: an independent way to the same lists."""
+    nested = model.recommendForAllUsers(model.itemFactors.count())
+    flat = ranking.flatten_nested(nested, "userId", "movieId", "rating")
+    unrated = flat.join(ratings.select(*KEYS), KEYS, "left_anti").withColumn("place", _place())
+    best = unrated.where(F.col("place") <= recommender.TOP_K)
+    return best.select("userId", "place", F.col("rating").alias("other"))
+
+
 def paths_agree(spark, sf):
-    """Both ways to list unrated movies agree for as many places as the shorter one has."""
-    user, rated = _user_ratings(spark, sf)
-    model, movies = _model(spark, sf, "all"), stand_ins.movies(spark, sf)
-    scored = recommender.score_unrated(model, user, rated, movies)
-    shared = recommender.unrated_recommendations(recommender.recommend_all(model), user, rated, movies)
-    # Both are sorted, the longer one is cut to the length of a recommendation list first.
-    place = F.row_number().over(Window.partitionBy("userId").orderBy(F.desc("rating"), "movieId"))
-    first = scored.limit(recommender.TOP_K).withColumn("place", place).select("userId", "place", F.col("rating").alias("a"))
-    second = shared.withColumn("place", place).select("userId", "place", F.col("rating").alias("b"))
-    return second.join(first, ["userId", "place"], "left").groupBy("userId").agg(
-        F.count_if(F.coalesce(F.abs(F.col("a") - F.col("b")) > TOLERANCE, F.lit(True))).alias("different")
+    """Unrated items from the shared table and by direct scoring agree, for as many places as the table has."""
+    ratings = _written(spark, stand_ins.planted_ratings(spark, sf), "planted")
+    model = _model(spark, sf, "all")
+    shared = _published(spark, recommender.recommend_all(model))
+    left = sets.exclude_keys(shared, ratings, KEYS).withColumn("place", _place())
+    second = left.select("userId", "place", F.col("rating").alias("b"))
+    found = second.join(_unrated_by_model(model, ratings), ["userId", "place"], "left").groupBy("userId").agg(
+        F.count_if(F.coalesce(F.abs(F.col("other") - F.col("b")) > TOLERANCE, F.lit(True))).alias("different")
     )
+    users = ratings.select("userId").distinct()
+    return users.join(found, "userId", "left").select("userId", F.coalesce("different", F.lit(0)).cast("long").alias("different"))
 
 
 def top_n_for_user(spark, sf):
@@ -459,53 +513,92 @@ def top_n_for_user(spark, sf):
     )
 
 
-def recommend_unrated_all(spark, sf):
-    """Per user: number of unrated items recommended, and how many of them are rated after all."""
-    ratings = _written(spark, stand_ins.planted_ratings(spark, sf), "planted")
-    recommended = recommender.recommend_unrated(_model(spark, sf, "all"), ratings)
+def _unrated_figures(recommended, ratings, model):
+    """Per user: items, how many are rated after all, and places where the score is not the independent one."""
     rated = ratings.select(*KEYS, F.lit(1).alias("rated"))
-    return recommended.join(rated, KEYS, "left").groupBy("userId").agg(
-        F.count("*").alias("items"), F.count("rated").alias("still_rated")
+    own = recommended.withColumn("place", _place()).join(rated, KEYS, "left")
+    return own.join(_unrated_by_model(model, ratings), ["userId", "place"], "left").groupBy("userId").agg(
+        F.count("*").alias("items"),
+        F.count("rated").alias("still_rated"),
+        F.count_if(F.coalesce(F.abs(F.col("rating") - F.col("other")) > TOLERANCE, F.lit(True))).alias("different"),
     )
 
 
+def recommend_unrated_all(spark, sf):
+    ratings = _written(spark, stand_ins.planted_ratings(spark, sf), "planted")
+    model = _model(spark, sf, "all")
+    return _unrated_figures(recommender.recommend_unrated(model, ratings), ratings, model)
+
+
 def recommend_user_subset(spark, sf):
     """The same for a set of users: the customers of one market segment."""
     ratings = _written(spark, stand_ins.planted_ratings(spark, sf), "planted")
     members = stand_ins.table(spark, sf, "customer").where(F.col("c_mktsegment") == "BUILDING")
     users = members.select(F.col("c_custkey").cast("int").alias("userId"))
-    recommended = recommender.recommend_unrated(_model(spark, sf, "all"), ratings, users=users)
-    return recommended.groupBy("userId").agg(F.count("*").alias("items"))
+    model = _model(spark, sf, "all")
+    return _unrated_figures(recommender.recommend_unrated(model, ratings, users=users), ratings, model)
 
 
 def holdout_grid_metrics(spark, sf):
-    als = recommender.make_als(max_iter=3, blocks=4)
-    grid = tuning.param_grid(als, ranks=(4,), reg_params=(0.1, 0.01))
-    found = tuning.holdout_search(als, stand_ins.planted_ratings(spark, sf), grid)
-    return _sql_known(found.metrics)
+    """The default grid and number of rounds."""
+    return _sql_known(tuning.holdout_search(recommender.make_als(), stand_ins.planted_ratings(spark, sf)).metrics)
 
 
 def cv_grid_metrics(spark, sf):
-    als = recommender.make_als(max_iter=2, rank=4, blocks=2)
-    grid = tuning.param_grid(als, ranks=(4,), reg_params=(0.1, 0.01))
-    found = tuning.cross_validated_search(als, stand_ins.planted_ratings(spark, sf), grid, folds=2)
+    """The default grid, folds and number of rounds."""
+    als = recommender.make_als(blocks=2)
+    found = tuning.cross_validated_search(als, stand_ins.planted_ratings(spark, sf), parallelism=8)
     return _sql_known(found.metrics)
 
 
+def _pipeline(mode):
+    def query(spark, sf):
+        """From files to published tables: figures of the run, of the lists, and of the models that were saved."""
+        root = working_path(spark, "run")
+        inputs = {"ratings": stand_ins.planted_ratings(spark, sf).withColumn("ts", F.lit(0).cast("long")), "movies": stand_ins.movies(spark, sf)}
+        for name, frame in inputs.items():
+            writers.write_table(frame, f"{root}/{name}", "csv", header=True)
+        run = runs.run_recommender(spark, mode, f"{root}/ratings", f"{root}/movies", f"{root}/out", blocks=2, parallelism=8)
+        ratings = readers.read_ratings(spark, f"{root}/ratings")
+        models = {"model": ALSModel.load(f"{root}/out/model")}
+        if mode == runs.CROSS_VALIDATED:
+            models["cv-model"] = CrossValidatorModel.load(f"{root}/out/cv-model").bestModel
+        figures = [
+            _unrated_figures(run.unrated, ratings, run.model).agg(F.sum("still_rated") + F.sum("different")).scalar().alias("wrong_unrated"),
+            run.recommendations.select("userId").distinct().agg(F.count("*")).scalar().alias("users"),
+            run.recommendations.agg(F.count("*")).scalar().alias("recommended"),
+        ]
+        for name, model in models.items():
+            scored = recommender.predict(model, ratings)
+            error = scored.agg(metrics.rmse(F.col("rating"), F.col("prediction"))).scalar()
+            base = metrics.mean_rating(ratings).scalar()
+            plain = ratings.select("rating", base.alias("mean")).agg(metrics.rmse(F.col("rating"), F.col("mean"))).scalar()
+            figures.append((error < plain).alias(name.replace("-", "_") + "_beats_mean"))
+        return spark.range(1).select(*figures)
+
+    return query
+
+
 def _sql_known(table):
-    """Values that follow from the data are kept. Of trained ones it is checked that an error is
-    positive, and that the improvement (which may be negative) follows from the two test errors."""
+    """Values that follow from the data are kept. Of trained ones it is checked that an error is positive, that
+    the winner has the least one of the grid and lies below the baseline, and that the improvement follows from the two
+    test errors."""
     best = F.when(F.col("run") == "best", F.col("value"))
     baseline = F.when(F.col("run") == "baseline", F.col("value"))
     tested = table.where((F.col("metric") == "rmse") & (F.col("split") == "test"))
     errors = tested.agg(F.max(best).alias("value"), F.max(baseline).alias("base"))
     improvement = errors.select(metrics.improvement_percent(F.col("base"), F.col("value"))).scalar()
     trained = F.col("metric").isin("rmse", "mean_rmse") & (F.col("run") != "baseline")
+    members = table.where(F.col("metric").isin("rmse", "mean_rmse") & ~F.col("run").isin("best", "baseline"))
+    least = members.agg(F.min("value")).scalar()
+    base = tested.agg(F.max(baseline)).scalar()
+    won = F.when(F.col("split") == "validation", F.col("value") == least).otherwise(F.col("value") < base)
     return table.select(
         "run",
         "metric",
         "split",
-        F.when(trained, (F.col("value") > 0).cast("double"))
+        F.when(trained & (F.col("run") == "best"), ((F.col("value") > 0) & won).cast("double"))
+        .when(trained, (F.col("value") > 0).cast("double"))
         .when(
             F.col("metric") == "improvement_percent",
             (F.abs(F.col("value") - improvement) < 1e-9).cast("double"),
@@ -546,9 +639,11 @@ QUERIES = {
     "baseline_rmse": baseline_rmse,
     "baseline_improvement": baseline_improvement,
     "topk_movies_per_user": topk_movies_per_user,
+    "topk_beyond_group_limit": topk_beyond_group_limit,
     "sample_by_fractions": sample_by_fractions,
     "stratified_sample_hash": stratified_sample_hash,
     "stratified_sample_exact": stratified_sample_exact,
+    "stratified_sample_sliced": stratified_sample_sliced,
     "sampled_ratings_file": sampled_ratings_file,
     "split3_hash": split3_hash,
     "split2_hash": split2_hash,
@@ -558,6 +653,8 @@ QUERIES = {
     "saved_model_predictions": saved_model_predictions,
     "recommend_all_flat": recommend_all_flat,
     "recommend_all_by_model": recommend_all_by_model,
+    "recommend_block_sizes": recommend_block_sizes,
+    "published_recommendations": published_recommendations,
     "unrated_prediction_user": unrated_prediction_user,
     "unrated_recommendation_user": unrated_recommendation_user,
     "paths_agree": paths_agree,
@@ -566,4 +663,6 @@ QUERIES = {
     "recommend_user_subset": recommend_user_subset,
     "holdout_grid_metrics": holdout_grid_metrics,
     "cv_grid_metrics": cv_grid_metrics,
+    "pipeline_holdout": _pipeline(runs.HOLDOUT),
+    "pipeline_cv": _pipeline(runs.CROSS_VALIDATED),
 }

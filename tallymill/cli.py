@@ -36,16 +36,20 @@ def parser() -> argparse.ArgumentParser:
     movies.add_argument("--user-list", help="write that user's 100 best unrated movies to this path")
     movies.add_argument("--top", type=int, default=recommender.TOP_K)
     movies.add_argument("--max-iter", type=int, default=recommender.MAX_ITER)
-    movies.add_argument("--blocks", type=int, help="parallelism of a fit; by default from the data and the cluster")
+    movies.add_argument("--blocks", type=int, default=recommender.BLOCKS, help="parallelism of a fit; another number gives another model")
     movies.add_argument("--ranks", type=int, nargs="+", default=list(tuning.RANKS))
     movies.add_argument("--reg-params", type=float, nargs="+", default=list(tuning.REG_PARAMS))
     movies.add_argument("--folds", type=int, default=tuning.FOLDS)
+    movies.add_argument("--csv-mode", default="PERMISSIVE", help="PERMISSIVE, DROPMALFORMED or FAILFAST")
     movies.add_argument("--parallelism", type=int, help="fits that run side by side")
     return root
 
 
 def main(argv: list[str] | None = None) -> None:
-    args = parser().parse_args(argv)
+    commands = parser()
+    args = commands.parse_args(argv)
+    if args.command == "recommend" and args.user_list and args.user is None:
+        commands.error("--user-list needs --user")
     spark = build_session(
         f"tallymill-{args.command}", args.master, args.shuffle_partitions, args.checkpoint_dir
     )
@@ -69,6 +73,7 @@ def main(argv: list[str] | None = None) -> None:
             reg_params=tuple(args.reg_params),
             folds=args.folds,
             parallelism=args.parallelism,
+            csv_mode=args.csv_mode,
         )
         print(f"best parameters: {tuning.describe(run.best)}")
         run.metrics.show(100, truncate=False)
@@ -78,7 +83,7 @@ def main(argv: list[str] | None = None) -> None:
             print(f"unrated movies of user {args.user}, from the shared recommendations")
             run.recommended.show(20, truncate=False)
             if args.user_list:
-                ratings, movies = readers.read_ratings(spark, args.ratings), readers.read_movies(spark, args.movies)
+                ratings, movies = readers.read_ratings(spark, args.ratings, args.csv_mode), readers.read_movies(spark, args.movies)
                 runs.write_user_list(run, args.user, ratings, movies, args.user_list)
 
 

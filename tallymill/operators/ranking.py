@@ -56,7 +56,9 @@ def first_per_group(
     rank = rank_name or _RANK
     if k > threshold:
         parts = int(session.conf.get("spark.sql.shuffle.partitions"))
-        salted = df.withColumn(_SALT, F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(parts)))
+        # Maps cannot be hashed.
+        hashed = [name for name, kind in df.dtypes if "map<" not in kind]
+        salted = df.withColumn(_SALT, F.pmod(F.xxhash64(*hashed, F.spark_partition_id()), F.lit(parts)))
         within = Window.partitionBy(*keys, _SALT).orderBy(*order)
         # The repartition keeps Spark from reusing a placement by the group keys alone.
         df = (

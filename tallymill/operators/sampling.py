@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -167,8 +168,11 @@ def hash_split(
 
 
 def _quota(fraction: float, size: Column) -> Column:
-    # Decimal arithmetic: 0.05 * 20 must not round up to 2.
-    return F.ceil(F.lit(str(fraction)).cast("decimal(19,10)") * size.cast("decimal(19,0)")).cast("bigint")
+    # Integer arithmetic: 0.05 * 20 must not round up to 2, nor the smallest share of a row down to 0.
+    share = Fraction(str(fraction))
+    above, below = (F.lit(str(part)).cast("decimal(19,0)") for part in (share.numerator, share.denominator))
+    product = (above * size.cast("decimal(18,0)")).cast("decimal(38,0)")
+    return F.call_function("div", product + below - 1, below).cast("bigint")
 
 
 def _check_fraction(fraction: float) -> None:

@@ -9,14 +9,19 @@ from pyspark.sql import functions as F
 
 from tallymill.operators.ranking import first_per_group
 
+_KEY, _ROW = "__key", "__row"
+
 
 def inner_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Inner equi-join on keys of different names; both keys are kept.
+    """Inner equi-join; both keys are kept, or one of them if their names are the same.
 
-    No broadcast is forced: adaptive execution picks it from the measured size of the right side,
+    The right side is joined under names of its own, so that both frames may come from the same one. No broadcast is forced: adaptive execution picks it from the measured size of the right side,
     and splits the partitions of a hot key otherwise.
     """
-    return left.join(right, left[left_key] == right[right_key], "inner")
+    columns = [name for name in right.columns if name != right_key or left_key != right_key]
+    packed = right.select(F.col(right_key).alias(_KEY), F.struct(*columns, F.lit(0).alias(_KEY)).alias(_ROW))
+    joined = left.join(packed, F.col(left_key) == F.col(_KEY), "inner")
+    return joined.select(*left.columns, *[F.col(_ROW)[name].alias(name) for name in columns])
 
 
 def subtract_rows(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -31,8 +36,9 @@ def exclude_keys(df: DataFrame, others: DataFrame, keys: dict[str, str] | Sequen
     An equi anti-join: it never turns into a cross product, and it does not de-duplicate.
     """
     pairs = dict(keys) if isinstance(keys, dict) else {key: key for key in keys}
-    condition = [df[mine] == others[theirs] for mine, theirs in pairs.items()]
-    return df.join(others, condition, "left_anti")
+    named = others.select(*[F.col(theirs).alias(f"{_KEY}{place}") for place, theirs in enumerate(pairs.values())])
+    condition = [F.col(mine) == F.col(f"{_KEY}{place}") for place, mine in enumerate(pairs)]
+    return df.join(named, condition, "left_anti")
 
 
 def distinct_values(df: DataFrame, *columns: str) -> DataFrame:

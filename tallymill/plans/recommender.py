@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.param import Param
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.functions.hashing import hash_bucket
-from tallymill.operators.ranking import first_per_group, flatten_nested, rank_by
+from tallymill.operators.ranking import first_per_group, rank_by
 from tallymill.operators.sets import exclude_keys, inner_lookup
-from tallymill.session import ensure_checkpoint_dir
+from tallymill.session import ensure_checkpoint_dir, working_path
 
 # Defaults of the recommender.
 MAX_ITER = 20
@@ -24,19 +24,20 @@ SEED = 42
 
 USER, ITEM, RATING = "userId", "movieId", "rating"
 
-# Item factors up to this many bytes are broadcast for scoring.
-BROADCAST_BYTES = 64 * 1024 * 1024
-_SCORES_PER_BLOCK = 4_000_000
+# Blocks of a fit. They take part in its start values, so the number follows neither data nor cluster.
+BLOCKS = 10
 
-MIN_BLOCK_ROWS = 200_000
-MAX_BLOCK_ROWS = 10_000_000
+# Item factors are scored in blocks of about so many numbers, each broadcast on its own.
+BLOCK_VALUES = 4_000_000
+_SCORES_AT_ONCE = 4_000_000
 
 
-def make_als(max_iter: int = MAX_ITER, seed: int = SEED, blocks: int = 10, **params) -> ALS:
+def make_als(max_iter: int = MAX_ITER, seed: int = SEED, blocks: int = BLOCKS, **params) -> ALS:
     """Explicit-feedback ALS that drops rows of unseen users and items when it predicts.
 
     The seed is always set: the library default differs from process to process. ``blocks`` is the
-    number of user and of item blocks and with it the parallelism of a fit; see ``block_count``.
+    number of user and of item blocks and with it the parallelism of a fit. Another number gives
+    another model; large data on a large cluster wants one of its own.
     """
     return ALS(
         userCol=USER,
@@ -51,12 +52,6 @@ def make_als(max_iter: int = MAX_ITER, seed: int = SEED, blocks: int = 10, **par
     )
 
 
-def block_count(rows: int, parallelism: int) -> int:
-    """Blocks for a fit of ``rows`` ratings: one per core, unless that makes them too small to be
-    worth a task or too large for one."""
-    return max(1, min(parallelism, rows // MIN_BLOCK_ROWS), -(-rows // MAX_BLOCK_ROWS))
-
-
 def fit(als: ALS, ratings: DataFrame, overrides: dict[Param, object] | None = None) -> ALSModel:
     """Fit, with some parameters replaced; lineage is cut every ``checkpointInterval`` rounds."""
     ensure_checkpoint_dir(ratings.sparkSession)
@@ -68,25 +63,23 @@ def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
     return model.transform(pairs)
 
 
-def recommend_all(model: ALSModel, k: int = TOP_K) -> DataFrame:
-    """The ``k`` best items of every user as flat ``(userId, movieId, rating)`` rows.
+def recommend_all(model: ALSModel, k: int = TOP_K, block_items: int | None = None) -> DataFrame:
+    """The ``k`` best items of every user as flat ``(userId, movieId, rating)`` rows, clustered by user.
 
-    Every user is scored against every item. While the item factors are small enough to be
-    broadcast, each partition of users does so on its own. Only a model with fewer user blocks than
-    cores has its user factors spread first.
+    The lower item wins among equal scores. Users are spread by range before they are scored, so that no score
+    is shuffled as long as the items are one block.
     """
-    items = _small_item_factors(model)
-    if items is None:
-        return flatten_nested(model.recommendForAllUsers(k), USER, ITEM, RATING)
     wanted = model.userFactors.select("id", "features", F.lit(k).alias("wanted"))
-    tasks = _scoring_tasks(model)
-    if wanted.rdd.getNumPartitions() < tasks:
-        wanted = wanted.repartition(tasks, "id")
-    return _score_users(wanted, items)
+    scored, blocks = _scored(model, wanted.repartitionByRange(_scoring_tasks(model), "id"), block_items)
+    return scored if blocks == 1 else first_per_group(scored, [USER], [F.desc(RATING), F.asc(ITEM)], k)
 
 
 def recommend_unrated(
-    model: ALSModel, ratings: DataFrame, k: int = TOP_K, users: DataFrame | None = None
+    model: ALSModel,
+    ratings: DataFrame,
+    k: int = TOP_K,
+    users: DataFrame | None = None,
+    block_items: int | None = None,
 ) -> DataFrame:
     """The ``k`` best items each user has not rated, for all users or those in ``users``.
 
@@ -102,14 +95,10 @@ def recommend_unrated(
         "features",
         (F.coalesce("rated", F.lit(0)) + k).alias("wanted"),
     )
-    items = _small_item_factors(model)
-    if items is not None:
-        # Adaptive execution sizes partitions by bytes, but scoring costs far more than its input.
-        # A fixed count is not merged; a key other than the join's keeps this shuffle from being
-        # taken for a repetition of the join's and dropped.
-        scored = _score_users(wanted.repartition(_scoring_tasks(model), F.xxhash64("id")), items)
-    else:
-        scored = _recommend_in_tiers(model, wanted)
+    # Adaptive execution sizes partitions by bytes, but scoring costs far more than its input.
+    # A fixed count is not merged; a key other than the join's keeps this shuffle from being
+    # taken for a repetition of the join's and dropped.
+    scored, _ = _scored(model, wanted.repartition(_scoring_tasks(model), F.xxhash64("id")), block_items)
     unrated = exclude_keys(scored, ratings, [USER, ITEM])
     return first_per_group(unrated, [USER], [F.desc(RATING), F.asc(ITEM)], k)
 
@@ -175,9 +164,12 @@ def with_fold(ratings: DataFrame, folds: int, seed: int | str = "fold") -> DataF
 
 
 def publish(recommendations: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write the shared recommendations, clustered by user so that a lookup reads few row groups."""
-    clustered = recommendations.repartitionByRange(USER).sortWithinPartitions(USER, F.desc(RATING), ITEM)
-    clustered.write.mode(mode).parquet(path)
+    """Write recommendations, sorted by user so that a lookup reads few row groups.
+
+    They come clustered by user and are not dealt anew: a range partitioning would run the whole scoring once
+    more, just to sample its result.
+    """
+    recommendations.sortWithinPartitions(USER, F.desc(RATING), ITEM).write.mode(mode).parquet(path)
 
 
 def _scoring_tasks(model: ALSModel) -> int:
@@ -185,65 +177,84 @@ def _scoring_tasks(model: ALSModel) -> int:
     return max(cores, model.userFactors.rdd.getNumPartitions())
 
 
-def _small_item_factors(model: ALSModel) -> tuple[np.ndarray, np.ndarray] | None:
-    """Item ids in ascending order and their factors, or None if they exceed the size limit."""
-    count = model.itemFactors.count()
-    if count * model.rank * 4 > BROADCAST_BYTES:
-        return None
-    table = model.itemFactors.orderBy("id").toArrow().combine_chunks()
-    flat = pa.concat_arrays(table["features"].chunks).flatten()
-    return table["id"].to_numpy(), flat.to_numpy().reshape(count, model.rank)
+def _scored(model: ALSModel, wanted: DataFrame, block_items: int | None) -> tuple[DataFrame, int]:
+    """The ``wanted`` best items of each block for every row ``(id, features, wanted)``, and the number of blocks.
+
+    Items are dealt to blocks of about ``block_items`` by a hash of the id. One block at a time is
+    collected and broadcast, so what the driver and the tasks hold does not grow with the model.
+    """
+    size = block_items or max(1, BLOCK_VALUES // model.rank)
+    blocks = max(1, -(-model.itemFactors.count() // size))
+    block = F.pmod(F.xxhash64("id"), F.lit(blocks))
+    if blocks > 1:
+        # Every block reads the users again.
+        wanted = _kept(wanted)
+    parts = [
+        _score_users(wanted, model.itemFactors.where(block == number).orderBy("id").toArrow(), model.rank)
+        for number in range(blocks)
+    ]
+    return reduce(DataFrame.unionAll, parts), blocks
+
 
+def _kept(frame: DataFrame) -> DataFrame:
+    path = working_path(frame.sparkSession, "users")
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
-def _score_users(wanted: DataFrame, items: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """The ``wanted`` best items of every row ``(id, features, wanted)``."""
-    shared = wanted.sparkSession.sparkContext.broadcast(items)
 
-    def best_items(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _score_users(wanted: DataFrame, items: pa.Table, rank: int) -> DataFrame:
+    """The ``wanted`` best items of every row ``(id, features, wanted)``; ``items`` are in ascending order."""
+    table = items.combine_chunks()
+    flat = pa.concat_arrays(table["features"].chunks).flatten().to_numpy() if len(table) else np.empty(0, np.float32)
+    shared = wanted.sparkSession.sparkContext.broadcast((table["id"].to_numpy(), flat.reshape(len(table), rank)))
+
+    def best_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, factors = shared.value
-        step = max(1, _SCORES_PER_BLOCK // max(1, len(ids)))
+        step = max(1, _SCORES_AT_ONCE // max(1, len(ids)))
         for batch in batches:
-            for start in range(0, len(batch), step):
-                block = batch.iloc[start : start + step]
-                scores = np.array(block["features"].tolist(), dtype=np.float32) @ factors.T
-                picks = [_best(row, int(k)) for row, k in zip(scores, block["wanted"])]
-                yield pd.DataFrame(
-                    {
-                        USER: np.repeat(block["id"].to_numpy(), [len(pick) for pick in picks]),
-                        ITEM: ids[np.concatenate(picks)],
-                        RATING: np.concatenate([row[pick] for row, pick in zip(scores, picks)]),
-                    }
+            if not len(batch) or not len(ids):
+                continue
+            users, counts = batch["id"].to_numpy(), batch["wanted"].to_numpy()
+            own = batch["features"].flatten().to_numpy().reshape(len(batch), rank)
+            # Rows that want about as many are scored together.
+            order = np.argsort(counts, kind="stable")
+            for start in range(0, len(order), step):
+                part = order[start : start + step]
+                rows, places, values = _best(_products(own[part], factors), counts[part])
+                yield pa.record_batch(
+                    [
+                        pa.array(users[part][rows], pa.int32()),
+                        pa.array(ids[places], pa.int32()),
+                        pa.array(values, pa.float32()),
+                    ],
+                    [USER, ITEM, RATING],
                 )
 
-    return wanted.mapInPandas(best_items, f"{USER} int, {ITEM} int, {RATING} float")
-
+    return wanted.mapInArrow(best_items, f"{USER} int, {ITEM} int, {RATING} float")
 
-def _best(scores: np.ndarray, k: int) -> np.ndarray:
-    """Places of the ``k`` highest scores, best first; the lower place wins among equal scores."""
-    places = np.arange(len(scores))
-    if 0 < k < len(scores):
-        threshold = np.partition(scores, len(scores) - k)[len(scores) - k]
-        places = np.flatnonzero(scores >= threshold)
-    return places[np.argsort(-scores[places], kind="stable")][:k]
 
+def _products(users: np.ndarray, items: np.ndarray) -> np.ndarray:
+    """Scores of all pairs. Products are added in the order of the factors, so that a score does not
+    depend on how many users and items are multiplied at once, as it does with matrix routines."""
+    scores = np.zeros((len(users), len(items)), np.float32)
+    product = np.empty_like(scores)
+    for factor in range(users.shape[1]):
+        np.multiply(users[:, factor, None], items[:, factor], out=product)
+        scores += product
+    return scores
 
-def _recommend_in_tiers(model: ALSModel, wanted: DataFrame) -> DataFrame:
-    """At least ``wanted`` items per user where the item factors are too large to be broadcast.
 
-    The model takes one number for all users, and a single heavy user would raise it for everyone.
-    Users are therefore grouped by the power of two that covers their number.
-    """
-    tiered = wanted.select(
-        F.col("id").alias(USER), F.ceil(F.log2(F.col("wanted"))).cast("int").alias("tier")
-    )
-    # At most one value per bit of a count.
-    tiers = sorted(row["tier"] for row in tiered.select("tier").distinct().collect())
-    result = None
-    for tier in tiers:
-        members = tiered.where(F.col("tier") == tier).select(USER)
-        nested = model.recommendForUserSubset(members, 1 << tier)
-        part = flatten_nested(nested, USER, ITEM, RATING)
-        result = part if result is None else result.unionByName(part)
-    if result is None:
-        return wanted.sparkSession.createDataFrame([], f"{USER} int, {ITEM} int, {RATING} float")
-    return result
+def _best(scores: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, places and values of the ``counts`` highest scores of each row, the lower place first among equals."""
+    width, most = scores.shape[1], int(counts.max(initial=0))
+    if 0 < most < width:
+        least = np.partition(scores, width - most, axis=1)[:, width - most]
+        rows, places = np.nonzero(scores >= least[:, None])
+    else:
+        rows, places = (axis.ravel() for axis in np.indices(scores.shape))
+    values = scores[rows, places]
+    order = np.lexsort((places, -values, rows))
+    rows, places, values = rows[order], places[order], values[order]
+    position = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    kept = position < counts[rows]
+    return rows[kept], places[kept], values[kept]

@@ -6,11 +6,13 @@ import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from threading import Lock
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.param import Param
-from pyspark.ml.recommendation import ALS
+from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,12 +53,18 @@ def describe(params: Params) -> str:
     return ", ".join(f"{param.name}={value}" for param, value in sorted(params.items(), key=lambda p: p[0].name))
 
 
-def lowest(values: Sequence[float | None]) -> int:
+def lowest_or_none(values: Sequence[float | None]) -> int | None:
     """Index of the smallest value, the first among equals. Missing values and NaN never win."""
     usable = [(value, place) for place, value in enumerate(values) if value is not None and not math.isnan(value)]
-    if not usable:
+    return min(usable)[1] if usable else None
+
+
+def lowest(values: Sequence[float | None]) -> int:
+    """As :func:`lowest_or_none`; it is an error if no value is usable."""
+    place = lowest_or_none(values)
+    if place is None:
         raise ValueError("no parameter combination gave a usable error")
-    return min(usable)[1]
+    return place
 
 
 def fits_at_once(als: ALS, parallelism: int, fits: int) -> int:
@@ -109,27 +117,41 @@ def holdout_search(
             labelled.where(F.col("split") == name).drop("split") for name in weights
         )
 
-        def attempt(params: Params):
+        kept: dict[int, ALSModel] = {}
+        errors: dict[int, float | None] = {}
+        deciding = Lock()
+
+        def attempt(member: tuple[int, Params]):
+            place, params = member
             model = fit(als, train, params)
-            return model, *score(predict(model, validation))
+            error, count = score(predict(model, validation))
+            with deciding:
+                # Only the factors of the best model so far stay in the executors.
+                kept[place], errors[place] = model, error
+                best_so_far = lowest_or_none([errors.get(at) for at in range(len(grid))])
+                for at in [at for at in kept if at != best_so_far]:
+                    dropped = kept.pop(at)
+                    dropped.userFactors.unpersist()
+                    dropped.itemFactors.unpersist()
+            return error, count
 
         at_once = parallelism or fits_at_once(als, spark.sparkContext.defaultParallelism, len(grid))
         with ThreadPoolExecutor(max_workers=at_once) as pool:
             # Job groups and tags are inherited by the worker threads.
-            attempts = list(pool.map(inheritable_thread_target(spark)(attempt), grid))
-        best = lowest([error for _, error, _ in attempts])
-        test_error, test_rows = score(predict(attempts[best][0], test))
+            attempts = list(pool.map(inheritable_thread_target(spark)(attempt), enumerate(grid)))
+        best = lowest([error for error, _ in attempts])
+        test_error, test_rows = score(predict(kept[best], test))
         baseline = baseline_rmse(train, test)
         gain = improvement_percent(F.col("baseline_rmse"), F.lit(test_error))
         figures = baseline.select("baseline_rmse", gain.alias("improvement")).first()
 
     names = list(weights)
     rows = []
-    for params, (_, error, count) in zip(grid, attempts):
+    for params, (error, count) in zip(grid, attempts):
         rows.append((describe(params), "rmse", names[1], error))
         rows.append((describe(params), "scored_rows", names[1], count))
     rows += [
-        ("best", "rmse", names[1], attempts[best][1]),
+        ("best", "rmse", names[1], attempts[best][0]),
         ("best", "rmse", names[2], test_error),
         ("best", "scored_rows", names[2], test_rows),
         ("baseline", "rmse", names[2], figures["baseline_rmse"]),
@@ -138,6 +160,20 @@ def holdout_search(
     return SearchResult(grid[best], metrics_table(spark, rows))
 
 
+def with_winner(
+    model: CrossValidatorModel, als: ALS, train: DataFrame, params: Params, best: int
+) -> CrossValidatorModel:
+    """The cross-validated model with the winner that :func:`lowest` finds.
+
+    The library takes the place of the first NaN for the smallest error; then its model is replaced by a fit of
+    the winner, so that the saved model and the reported errors belong to it.
+    """
+    if int(np.argmin(model.avgMetrics)) == best:
+        return model
+    rebuilt = CrossValidatorModel(fit(als, train, params), model.avgMetrics, model.subModels, model.stdMetrics)
+    return model._copyValues(rebuilt)
+
+
 def cross_validated_search(
     als: ALS,
     ratings: DataFrame,
@@ -171,6 +207,7 @@ def cross_validated_search(
         )
         model = validator.fit(train)
         best = lowest(model.avgMetrics)
+        model = with_winner(model, als, train, grid[best], best)
         train_error, train_rows = score(model.transform(train))
         test_error, test_rows = score(model.transform(test))
         figures = baseline_rmse(train, test).first()

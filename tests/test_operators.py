@@ -162,3 +162,19 @@ def test_persisted_frames_are_released(spark):
             assert "InMemoryTableScan" in plan_of(frame.where("id > 3"))
             raise RuntimeError
     assert not frame.storageLevel.useMemory
+
+
+def test_lookups_on_a_common_lineage(spark):
+    frame = spark.createDataFrame([(1, 2), (2, 3), (5, 5), (None, 1)], "a int, b int")
+    part = frame.where("a < 3")
+    assert rows_of(sets.exclude_keys(frame, part, {"a": "b"})) == rows_of(frame.where("a IS NULL OR a IN (1, 5)"))
+    assert rows_of(sets.exclude_keys(frame, part, ["a"])) == rows_of(frame.where("a IS NULL OR a = 5"))
+    assert rows_of(sets.inner_lookup(frame, part, "a", "b")) == [(2, 3, 1, 2)]
+    same = sets.inner_lookup(frame, part, "a", "a")
+    assert same.columns == ["a", "b", "b"] and rows_of(same) == [(1, 2, 2), (2, 3, 3)]
+
+
+def test_long_lists_per_group_may_hold_maps(spark):
+    frame = spark.range(2500).selectExpr("id % 2 AS g", "id", "map('k', id) AS m")
+    best = ranking.first_per_group(frame, ["g"], [F.desc("id")], 1001)
+    assert best.groupBy("g").count().collect()[0]["count"] == 1001 and best.agg(F.min("id")).first()[0] == 498

@@ -49,10 +49,10 @@ def assert_best(rows, scores, k, rated=None):
     return set(found)
 
 
-@pytest.fixture(params=["broadcast", "model"])
+@pytest.fixture(params=["one block", "many blocks"])
 def way(request, monkeypatch):
-    if request.param == "model":
-        monkeypatch.setattr(recommender, "BROADCAST_BYTES", 0)
+    if request.param == "many blocks":
+        monkeypatch.setattr(recommender, "BLOCK_VALUES", 250)
     return request.param
 
 
@@ -95,24 +95,53 @@ def test_recommend_all(model, scores, way, k):
     assert assert_best(found.collect(), scores, k) == set(scores)
 
 
-def test_recommend_all_shuffles_no_scores(spark, model, ratings):
-    """Nothing is shuffled above the scoring, and nothing at all if there are blocks enough."""
-    assert "Exchange" not in plan_of(recommender.recommend_all(model)).split("MapInPandas")[0]
-    cores = spark.sparkContext.defaultParallelism
-    many = recommender.fit(recommender.make_als(max_iter=1, rank=2, blocks=cores), ratings)
-    assert "Exchange" not in plan_of(recommender.recommend_all(many))
+def test_users_are_scored_once_when_published(spark, model, monkeypatch, tmp_path):
+    """Nothing is shuffled above the scoring, which runs once for each user."""
+    assert "Exchange" not in plan_of(recommender.recommend_all(model)).split("MapInArrow")[0]
+    scored, products = spark.sparkContext.accumulator(0), recommender._products
+
+    def counted(users, items):
+        scored.add(len(users))
+        return products(users, items)
+
+    monkeypatch.setattr(recommender, "_products", counted)
+    recommender.publish(recommender.recommend_all(model), str(tmp_path / "published"))
+    assert scored.value == model.userFactors.count()
 
 
 def test_blocks_of_users_do_not_matter(model, scores, monkeypatch):
-    monkeypatch.setattr(recommender, "_SCORES_PER_BLOCK", 1)
+    monkeypatch.setattr(recommender, "_SCORES_AT_ONCE", 1)
     assert assert_best(recommender.recommend_all(model, 5).collect(), scores, 5) == set(scores)
 
 
 def test_equal_scores_go_by_item():
-    scores = np.array([1.0, 3.0, 2.0, 3.0, 2.0, 2.0], dtype=np.float32)
-    assert recommender._best(scores, 3).tolist() == [1, 3, 2]
-    assert recommender._best(scores, 9).tolist() == [1, 3, 2, 4, 5, 0]
-    assert recommender._best(scores, 0).tolist() == []
+    scores = np.array([[1.0, 3.0, 2.0, 3.0, 2.0, 2.0]] * 2, dtype=np.float32)
+    for first, second in ((3, 0), (9, 1), (2, 2)):
+        rows, places, values = recommender._best(scores, np.array([first, second]))
+        expected = [1, 3, 2, 4, 5, 0][:first] + [1, 3, 2][:second]
+        assert places.tolist() == expected
+        assert rows.tolist() == [0] * min(first, 6) + [1] * second
+        assert values.tolist() == [scores[0][place] for place in expected]
+
+
+@pytest.mark.parametrize("equal", [False, True])
+def test_blocks_of_items_do_not_matter(spark, model, ratings, equal, monkeypatch):
+    """Any number of items in a block gives the same rows, also where all scores are equal."""
+    if equal:
+        monkeypatch.setattr(recommender, "_products", lambda users, items: np.ones((len(users), len(items)), np.float32))
+    few = ratings.where("userId < 20 AND movieId < 60")
+    small = recommender.fit(recommender.make_als(max_iter=1, rank=3, blocks=2), few)
+    found = [
+        (rows_of(recommender.recommend_all(small, 4, block_items=size)), rows_of(recommender.recommend_unrated(small, few, 4, block_items=size)))
+        for size in (1, 7, 10_000)
+    ]
+    assert found[0] == found[1] == found[2] and all(found[0])
+    if equal:
+        lowest = {}
+        for user, item, _ in found[0][0]:
+            lowest.setdefault(user, []).append(item)
+        items = sorted(row["id"] for row in small.itemFactors.collect())[:4]
+        assert all(sorted(own) == items for own in lowest.values())
 
 
 def test_recommend_unrated(model, ratings, scores, way):
@@ -150,7 +179,7 @@ def test_scoring_uses_all_cores(spark, model, ratings, setting):
     found.collect()
     final = plan_of(found).split("Initial Plan")[0]
     # The stage below the scoring is read as it was written.
-    below = final.split("MapInPandas")[1].split("Exchange")[0]
+    below = final.split("MapInArrow")[1].split("Exchange")[0]
     assert "AQEShuffleRead" not in below
 
 
@@ -239,10 +268,3 @@ def test_folds_are_balanced_and_stable(ratings):
     sizes = [row["count"] for row in folded.groupBy("fold").count().collect()]
     assert len(sizes) == 5 and max(sizes) < 1.2 * min(sizes)
     assert rows_of(folded) == rows_of(recommender.with_fold(ratings.repartition(3), 5))
-
-
-@pytest.mark.parametrize(
-    "rows, cores, blocks", [(0, 8, 1), (60_000, 8, 1), (600_000, 8, 3), (6_000_000, 8, 8), (10**9, 8, 100), (10**9, 4000, 4000)]
-)
-def test_block_count(rows, cores, blocks):
-    assert recommender.block_count(rows, cores) == blocks

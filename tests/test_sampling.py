@@ -128,3 +128,9 @@ def test_weights_finer_than_the_buckets():
     with pytest.raises(ValueError, match="too coarse"):
         sampling.split_bounds([0.999, 0.001])
     assert sampling.split_bounds([0.999, 0.001], buckets=1000) == [999, 1000]
+
+
+@pytest.mark.parametrize(("fraction", "kept"), [(1e-11, 1), (1 / 3, 334), (0.05, 50), (0.0, 0), (1.0, 1000), (1e-3, 1)])
+def test_quota_is_exact_for_any_fraction(spark, fraction, kept):
+    frame = spark.range(1000).selectExpr("0 AS s", "id")
+    assert sampling.stratified_sample_exact(frame, "s", fraction, ["id"]).count() == kept

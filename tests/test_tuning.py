@@ -110,3 +110,15 @@ def test_cross_validated_search(als, ratings, tmp_path):
     loaded = CrossValidatorModel.load(path)
     assert tuning.evaluator().evaluate(loaded.transform(test)) == pytest.approx(values[("best", "rmse", "test")])
     assert loaded.avgMetrics == pytest.approx(found.cv_model.avgMetrics)
+
+
+def test_winner_beside_a_missing_error(spark):
+    """A member without an error does not win, and the model that is kept is the winner's."""
+    ratings = stand_ins.planted_ratings(spark, SMALL)
+    als = recommender.make_als(max_iter=1, blocks=2)
+    grid = tuning.param_grid(als, ranks=(2, 3), reg_params=(0.1,))
+    broken = CrossValidatorModel(recommender.fit(als, ratings, grid[0]), [float("nan"), 0.5])
+    kept = tuning.with_winner(broken, als, ratings, grid[1], tuning.lowest(broken.avgMetrics))
+    assert kept.bestModel.rank == 3
+    whole = CrossValidatorModel(broken.bestModel, [0.4, 0.5])
+    assert tuning.with_winner(whole, als, ratings, grid[0], 0) is whole
