@@ -74,7 +74,7 @@ def test_spans_of_repeated_rows_and_nothing(spark):
     assert sorted((repr(row.doc_id), len(row.base)) for row in found) == [("1", 2), ("1", 2), ("None", 1)]
 
 
-PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="page">
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body class="page">
 <header><a href="/">Site</a></header><nav><ul><li><a>One</a><li><a>Two</a></ul></nav><!-- <p>not this</p> -->
 <div class="cookie-notice"><p>We use cookies on this site, please read all of our long policy text.</p></div>
 {body}
