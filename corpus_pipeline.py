@@ -9,17 +9,18 @@ from tallymill.llm import decontamination, jaccard, language, line_dedup, mixing
 from tallymill.llm.tables import load, stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-# A document is rejected if its language has no more than an even chance, or it has no letters at all.
-LEAST_SCORE = 0.5
 # The share of documents, by hash of the id, that no language model learns from.
 HELD_OUT = "crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 4 = 2"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; a missing label is filled in."""
+    """Documents whose language can be told; a missing label is filled in. Those without a letter go.
+
+    Short texts of unseen words have low scores but are clean, so the score rejects none.
+    """
     model = language.fit(docs.where(f"NOT coalesce({HELD_OUT}, false)"))
     found = language.predicted(docs.select(*COLUMNS), model)
-    known = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") > LEAST_SCORE))
+    known = found.where(F.col("lang_pred") != language.UNKNOWN)
     return known.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
