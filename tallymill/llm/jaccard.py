@@ -23,6 +23,12 @@ MOST_FREQUENT = 1 << 20
 SLICE = 16
 PASSAGE_WORDS = 160
 _KNOWN_CLASSES = 1 << 20
+# Further shingles of a window make up for those in large regions: one for so many of the set.
+SPARE = 16
+# Parts of the space of shingles, by hash, whose counts bound a distance from below.
+BINS = 128
+# Classes that are compared at once where a region joins exhaustively, about.
+BLOCK_CLASSES = 256
 
 
 def _need(size, percent: int):
@@ -39,6 +45,11 @@ def window_length(size: int, percent: int = PERCENT) -> int:
     return size - _need(size, percent) + 1 if size else 0
 
 
+def _reach(size: int, percent: int) -> int:
+    """Length of a window with the spare shingles."""
+    return min(size, window_length(size, percent) + -(-size // SPARE))
+
+
 def _class_of(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
@@ -59,19 +70,29 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def _described(batches):
-    """Of each text: size and class of its shingle set, and the slice of it by hash."""
+    """Of each text: size and class of its shingle set, its counts in the bins, and the slice of it by hash."""
     hashes = word_hasher()
-    limit = np.uint64((1 << 64) // SLICE)
+    limit, bits = np.uint64((1 << 64) // SLICE), np.uint64(BINS - 1)
     for batch in batches:
-        sizes, classes, slices = [], [], []
+        sizes, classes, slices, bins = [], [], [], []
         for words in _words(batch["text"].to_pylist(), hashes):
             shingles = shingle_hashes(words, SHINGLE_WORDS)
             sizes.append(len(shingles))
             classes.append(_class_of(shingles) if len(shingles) else None)
             slices.append(_signed(shingles[: np.searchsorted(shingles, limit)]))
+            # Capped counts differ no more than the counts do.
+            counts = np.bincount((shingles & bits).astype(np.int64), minlength=BINS)
+            bins.append(np.minimum(counts, 255).astype(np.uint8).tobytes() if len(shingles) else None)
         yield pa.record_batch(
-            [batch["doc_id"], batch["copy"], pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), _lists(slices)],
-            ["doc_id", "copy", "n", "class", "slice"],
+            [
+                batch["doc_id"],
+                batch["copy"],
+                pa.array(sizes, pa.int64()),
+                pa.array(classes, pa.int64()),
+                _lists(slices),
+                pa.array(bins, pa.binary()),
+            ],
+            ["doc_id", "copy", "n", "class", "slice", "bins"],
         )
 
 
@@ -139,7 +160,7 @@ def _windowed(shared, percent: int):
                     known.clear()
                 known.add(own)
                 frequent = _member(shingles, shared.value)
-                window = window_length(len(shingles), percent)
+                window = _reach(len(shingles), percent)
                 first = shingles[~frequent][:window]
                 if len(first) < window:
                     first = np.concatenate([first, shingles[frequent][: window - len(first)]])
@@ -230,6 +251,23 @@ def _paired(percent: int, leaf: int):
     return run
 
 
+def _bounded(batches):
+    """The least distance that the counts in the bins allow a pair of sets.
+
+    Sets that differ in ``s`` shingles are at the distance ``1 - (n_a + n_b - s) / (n_a + n_b + s)``. By the triangle
+    inequality in each bin, ``s`` is no less than the counts differ in all.
+    """
+    for batch in batches:
+        left, right = (
+            np.frombuffer(b"".join(batch[name].to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
+            for name in ("bins_a", "bins_b")
+        )
+        apart = np.abs(left - right).sum(axis=1)
+        total = batch["n_a"].to_numpy().astype(np.int64) + batch["n_b"].to_numpy()
+        low = 1 - (total - apart) / (total + apart)
+        yield pa.record_batch([*(batch[name] for name in ("a", "b", "n_a", "n_b")), pa.array(low)], ["a", "b", "n_a", "n_b", "low"])
+
+
 def _shared(batches):
     """Shared shingles of pairs of texts."""
     hashes = word_hasher()
@@ -244,13 +282,22 @@ def _shared(batches):
         yield pa.record_batch([*(batch[name] for name in ("a", "b", "n_a", "n_b")), pa.array(counts, pa.int64())], ["a", "b", "n_a", "n_b", "shared"])
 
 
-def _measured(pairs: DataFrame, texts: DataFrame, places: DataFrame) -> DataFrame:
-    """``a, b, d``: exact Jaccard distances of pairs of classes ``a, b, n_a, n_b``, as a table.
+def _measured(pairs: DataFrame, texts: DataFrame, places: DataFrame, percent: int) -> DataFrame:
+    """``a, b, d, linked``: Jaccard distances of pairs of classes ``a, b, n_a, n_b``, as a table.
 
-    Only texts of classes that are in a pair are looked up, one of each class.
+    A pair that the bins show to be too far apart has the bound as its ``d``. The others are measured on their texts, and only
+    those are looked up, one of each class.
     """
-    pairs = stored(pairs.select("a", "b", "n_a", "n_b").distinct(), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    radius = 1 - percent / 100
+    sides = pairs.select("a", "b", "n_a", "n_b").distinct()
+    for side in ("a", "b"):
+        sides = sides.join(places.select(F.col("class").alias(side), F.col("bins").alias(f"bins_{side}")), side)
+    bounded = stored(
+        sides.select("a", "b", "n_a", "n_b", "bins_a", "bins_b").mapInArrow(_bounded, "a long, b long, n_a int, n_b int, low double"),
+        "bounded",
+    )
+    near = bounded.where(F.col("low") <= radius + 1e-9)
+    wanted = near.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     placed = places.join(wanted, "class")
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("copy") == F.col("c"))
     found = stored(
@@ -259,65 +306,137 @@ def _measured(pairs: DataFrame, texts: DataFrame, places: DataFrame) -> DataFram
         .dropDuplicates(["class"]),
         "texts",
     )
-    sides = pairs.join(found.select(F.col("class").alias("a"), F.col("text").alias("text_a")), "a").join(
-        found.select(F.col("class").alias("b"), F.col("text").alias("text_b")), "b"
-    )
-    shared = sides.select("a", "b", "n_a", "n_b", "text_a", "text_b").mapInArrow(
+    for side in ("a", "b"):
+        near = near.join(found.select(F.col("class").alias(side), F.col("text").alias(f"text_{side}")), side)
+    shared = near.select("a", "b", "n_a", "n_b", "text_a", "text_b").mapInArrow(
         _shared, "a long, b long, n_a int, n_b int, shared long"
     )
-    distance = 1 - F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))
-    linked = F.col("shared") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("shared")) * PERCENT
-    return stored(shared.select("a", "b", distance.alias("d"), linked.alias("linked")), "distances")
+    union = F.col("n_a") + F.col("n_b") - F.col("shared")
+    measured = shared.select("a", "b", (1 - F.col("shared") / union).alias("d"), (F.col("shared") * 100 >= union * percent).alias("linked"))
+    far = bounded.where(F.col("low") > radius + 1e-9).select("a", "b", F.col("low").alias("d"), F.lit(False).alias("linked"))
+    result = stored(measured.unionAll(far), "distances")
+    discard(bounded, found)
+    return result
 
 
-def _by_pivots(members: DataFrame, measure, percent: int, leaf: int) -> DataFrame:
-    """Links ``a, b`` within regions too large for a leaf: rows ``region, a, n_a``.
+def _compared(percent: int):
+    """Pairs of two blocks of a region that neither sizes, windows nor bins keep apart."""
+    radius = 1 - percent / 100
 
-    A pivot is taken in each region, the member with the smallest set, and the distances of all to it are measured.
-    Those within the radius are its ball: they are linked through it and need not be compared with each other.
-    What lies outside goes on as a region of its own, together with the boundary: members of the ball from which some
-    outsider may be within the radius by the triangle inequality. A region joins exhaustively, under the windows of
-    the same inequality, as soon as it is a leaf or a pivot no longer halves it.
+    def run(batches):
+        for batch in batches:
+            rows = zip(*(batch[name].to_pylist() for name in ("block_1", "block_2", "same")), strict=True)
+            for one, two, same in rows:
+                (a, n, crowded, d, inside, bins), (a2, n2, crowded2, d2, inside2, bins2) = (
+                    (
+                        np.array([x["a"] for x in block]),
+                        np.array([x["n_a"] for x in block], np.int64),
+                        np.array([x["crowded"] for x in block]),
+                        np.array([x["d"] for x in block]),
+                        np.array([x["inside"] for x in block]),
+                        np.frombuffer(b"".join(x["bins"] for x in block), np.uint8).reshape(-1, BINS).astype(np.int16),
+                    )
+                    for block in (one, two)
+                )
+                for at in range(len(a)):
+                    total = n[at] + n2
+                    # The distance to the pivot is exact within the ball, and no less than known outside of it.
+                    apart = inside2 & (d[at] - d2 > radius + 1e-9)
+                    if inside[at]:
+                        apart |= inside2 | (d2 - d[at] > radius + 1e-9)
+                    good = ~apart & (np.minimum(n[at], n2) * 100 >= np.maximum(n[at], n2) * percent) & (crowded2 | crowded[at])
+                    if same:
+                        good &= a2 > a[at]
+                    left = np.flatnonzero(good)
+                    if len(left):
+                        differ = np.abs(bins2[left] - bins[at]).sum(axis=1)
+                        left = left[differ * (100 + percent) <= total[left] * (100 - percent)]
+                    if len(left):
+                        yield pa.record_batch(
+                            [
+                                pa.array(np.full(len(left), a[at])),
+                                pa.array(a2[left]),
+                                pa.array(np.full(len(left), n[at], np.int32)),
+                                pa.array(n2[left].astype(np.int32)),
+                            ],
+                            ["a", "b", "n_a", "n_b"],
+                        )
+
+    return run
+
+
+def _exhausted(members: DataFrame, places: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs ``a, b, n_a, n_b`` of each region, compared block by block; only near pairs become rows."""
+    block = F.pmod(F.xxhash64("a"), F.ceil(F.col("now") / BLOCK_CLASSES)).cast("int")
+    entry = F.struct("a", "n_a", "crowded", "d", "inside", "bins")
+    blocks = stored(
+        members.join(places.select(F.col("class").alias("a"), "bins"), "a")
+        .groupBy("region", block.alias("block"))
+        .agg(F.collect_list(entry).alias("entries")),
+        "blocks",
+    )
+    one, two = (blocks.select("region", F.col("block").alias(f"b_{s}"), F.col("entries").alias(f"block_{s}")) for s in (1, 2))
+    both = one.join(two, "region").where("b_1 <= b_2").select("block_1", "block_2", (F.col("b_1") == F.col("b_2")).alias("same"))
+    # Spread, because the work is in the comparing and not in the bytes.
+    tasks = members.sparkSession.sparkContext.defaultParallelism
+    found = stored(both.repartition(4 * tasks).mapInArrow(_compared(percent), "a long, b long, n_a int, n_b int").distinct(), "near")
+    discard(blocks)
+    return found
+
+
+def _by_pivots(members: DataFrame, places: DataFrame, measure, percent: int, leaf: int) -> DataFrame:
+    """Links ``a, b`` of crowded classes within regions too large for a leaf: rows ``region, a, n_a, crowded``.
+
+    A pivot is taken in each region, a crowded member with the smallest set, and regions of the same pivot become one, its
+    Voronoi cell. The distances of all members to it are measured. Those within the radius are its ball: they are linked
+    through it and need not be compared with each other. What lies outside goes on as a region of its own, together
+    with the boundary: members of the ball from which some outsider may be within the radius by the triangle
+    inequality. A region joins exhaustively, block by block and under the windows of the same inequality (:func:`_compared`),
+    as soon as it is a leaf or a pivot no longer halves it.
     """
     radius = 1 - percent / 100
     fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
     links = []
-    left = stored(members.select("region", "a", "n_a", F.lit(None).cast("double").alias("d")), "region")
+    left = stored(members.select("region", "a", "n_a", "crowded"), "region")
     while not left.isEmpty():
-        pivots = left.groupBy("region").agg(F.min(F.struct("n_a", "a")).alias("p"), F.count("*").alias("size"))
-        pivots = pivots.select("region", "size", F.col("p.a").alias("pivot"), F.col("p.n_a").alias("n_p"))
-        around = left.drop("d").join(pivots, "region")
-        others = around.where("a <> pivot")
+        pivots = left.groupBy("region").agg(F.min(F.struct(~F.col("crowded"), "n_a", "a")).alias("p"))
+        pivots = pivots.select("region", F.col("p.a").alias("pivot"), F.col("p.n_a").alias("n_p"))
+        cells = stored(
+            left.join(pivots, "region").select(F.col("pivot").alias("region"), "n_p", "a", "n_a", "crowded").distinct(), "cells"
+        )
+        sizes = cells.groupBy("region").agg(F.count("*").alias("size"))
+        others = cells.where("a <> region")
         pairs = others.where(fits(F.col("n_a"), F.col("n_p"))).select(
-            F.col("pivot").alias("a"), F.col("a").alias("b"), F.col("n_p").alias("n_a"), F.col("n_a").alias("n_b")
+            F.col("region").alias("a"), F.col("a").alias("b"), F.col("n_p").alias("n_a"), F.col("n_a").alias("n_b")
         )
         measured = measure(pairs)
         links.append(measured.where("linked").select("a", "b"))
-        known = measured.select(F.col("a").alias("pivot"), F.col("b").alias("a"), "d", "linked")
+        known = measured.select(F.col("a").alias("region"), F.col("b").alias("a"), "d", "linked")
         # Sizes alone are a lower bound of the distances that are not measured.
         bound = 1 - F.least("n_a", "n_p") / F.greatest("n_a", "n_p")
         placed = stored(
-            others.join(known, ["pivot", "a"], "left").select(
-                "region", "a", "n_a", "size", F.coalesce("d", bound).alias("d"), F.coalesce("linked", F.lit(False)).alias("inside")
+            others.join(known, ["region", "a"], "left")
+            .join(sizes, "region")
+            .select(
+                "region",
+                "a",
+                "n_a",
+                "crowded",
+                "size",
+                F.coalesce("d", bound).alias("d"),
+                F.coalesce("linked", F.lit(False)).alias("inside"),
             ),
             "placed",
         )
         outside = placed.where("NOT inside").groupBy("region").agg(F.min("d").alias("nearest"))
         kept = placed.join(outside, "region").where(~F.col("inside") | (F.col("d") >= F.col("nearest") - radius - 1e-9))
-        sizes = kept.groupBy("region").agg(F.count("*").alias("now"))
-        kept = stored(kept.join(sizes, "region").select("region", "a", "n_a", "d", "size", "now"), "kept")
+        now = kept.groupBy("region").agg(F.count("*").alias("now"), F.max("crowded").alias("any")).where("any AND now > 1")
+        kept = stored(kept.join(now, "region").select("region", "a", "n_a", "crowded", "d", "inside", "size", "now"), "kept")
         final = (F.col("now") <= leaf) | (F.col("now") * 2 > F.col("size"))
-        ends = kept.where(final)
-        one, two = (ends.select("region", *[F.col(c).alias(c + s) for c in ("a", "n_a", "d")]) for s in ("1", "2"))
-        leaves = one.join(two, "region").where(
-            (F.col("a1") < F.col("a2")) & fits(F.col("n_a1"), F.col("n_a2")) & (F.abs(F.col("d1") - F.col("d2")) <= radius + 1e-9)
-        )
-        measured = measure(
-            leaves.select(F.col("a1").alias("a"), F.col("a2").alias("b"), F.col("n_a1").alias("n_a"), F.col("n_a2").alias("n_b"))
-        )
+        measured = measure(_exhausted(kept.where(final), places, percent))
         links.append(measured.where("linked").select("a", "b"))
-        discard(left, placed)
-        left = stored(kept.where(~final).select("region", "a", "n_a", "d"), "region")
+        discard(left, cells, placed)
+        left = stored(kept.where(~final).select("region", "a", "n_a", "crowded"), "region")
         discard(kept)
     result = links[0] if links else members.select("a", F.col("a").alias("b")).where(F.lit(False))
     for more in links[1:]:
@@ -336,50 +455,64 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT, leaf: int = LE
 
     1. Documents of equal sets are one class.
     2. Regions: every class is replicated to the regions of the first shingles of its set, just as many as make
-       sure that two linked classes meet (:func:`window_length`). Frequent shingles come last in the order, so regions of passages
-       that many documents share hold only documents that have little else. The order changes the work, not the result.
-    3. A region of up to ``leaf`` classes is joined as it is. A pair is measured only if the shingles that it was found
+       sure that two linked classes meet (:func:`window_length`), and some to spare. Frequent shingles come last in the order,
+       so regions of passages that many documents share hold only documents that have little else. The order changes the
+       work, not the result.
+    3. A region of up to ``leaf`` classes is joined as it is. A pair goes on only if the shingles that it was found
        by, and all that it may have beyond its windows, can make a link.
-    4. Larger regions are split recursively around pivots, with the windows of the triangle inequality (:func:`_by_pivots`).
-    5. Distances are measured on the texts; components are united over the links.
+    4. A class whose spare shingles make up for those in larger regions is found by its other regions. Regions with
+       a crowded class, one that has more of them, are split recursively around pivots, with the windows of the
+       triangle inequality (:func:`_by_pivots`).
+    5. Distances are bounded by fixed pivots (:func:`_bounded`), and what is left is measured on the texts. Components are
+       united over the links.
     """
     spark = documents.sparkSession
-    texts = documents.select("doc_id", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("copy"), F.col("text").cast("binary").alias("text"))
+    texts = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.xxhash64("text"), F.lit(0)).alias("copy"),
+        F.col("text").cast("binary").alias("text"),
+    )
     sets = stored(
-        texts.mapInArrow(_described, "doc_id bigint, copy bigint, n bigint, class bigint, slice array<bigint>"), "sets"
+        texts.mapInArrow(_described, "doc_id bigint, copy bigint, n bigint, class bigint, slice array<bigint>, bins binary"), "sets"
+    )
+    first = F.min(F.struct("doc_id", "copy")).alias("p")
+    places = stored(
+        sets.where("class IS NOT NULL").groupBy("class").agg(first, F.any_value("bins").alias("bins")).select("class", "p.*", "bins"),
+        "places",
+    )
+    frequent = _frequent_shingles(sets, texts)
+    windows = texts.select("text").mapInArrow(
+        _windowed(spark.sparkContext.broadcast(frequent), percent), "shingle long, class long, n int"
     )
-    classes = sets.where("class IS NOT NULL").groupBy("class")
-    places = classes.agg(F.min(F.struct("doc_id", "copy")).alias("p")).select("class", "p.*")
-    seen = sets.where("class IS NOT NULL").select(F.explode("slice").alias("shingle"), "class").distinct()
-    first = _most_frequent(seen.groupBy("shingle").agg(F.count("*").alias("n")))
-    only = texts.select("text")
-    frequent = first
-    if len(first):
-        near = only.mapInArrow(_around(spark.sparkContext.broadcast(first)), "shingle long, n long")
-        frequent = np.union1d(first, _most_frequent(near.groupBy("shingle").agg(F.sum("n").alias("n"))))
-    windows = only.mapInArrow(_windowed(spark.sparkContext.broadcast(frequent), percent), "shingle long, class long, n int")
     regions = stored(
         windows.repartition("shingle")
         .sortWithinPartitions("shingle", "class")
         .mapInArrow(_paired(percent, leaf), "a long, b long, n_a int, n_b int, region long"),
         "regions",
     )
-    measure = lambda pairs: _measured(pairs, texts, places)
+    del windows
+    measure = lambda pairs: _measured(pairs, texts, places, percent)
     large = regions.where("region IS NOT NULL")
-    crowded = large.groupBy("a").agg(F.count("*").alias("crowded"))
+    spare = F.ceil(F.col("n_a") / SPARE)
+    counts = stored(large.groupBy("a").agg(F.count("*").alias("found"), (F.count("*") > F.first(spare)).alias("crowded")), "crowded")
     met = regions.where("region IS NULL").groupBy("a", "b").agg(
         F.count("*").alias("met"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b")
     )
-    rest = lambda n: F.ceil(F.col(n) * percent / 100) - 1
-    most = F.col("met") + F.least(F.coalesce("c_a", F.lit(0)), F.coalesce("c_b", F.lit(0))) + F.greatest(rest("n_a"), rest("n_b"))
+    beyond = lambda n: F.greatest(F.ceil(F.col(n) * percent / 100) - 1 - F.ceil(F.col(n) / SPARE), F.lit(0))
+    most = F.col("met") + F.least(F.coalesce("c_a", F.lit(0)), F.coalesce("c_b", F.lit(0))) + F.greatest(beyond("n_a"), beyond("n_b"))
     total = F.col("n_a") + F.col("n_b")
     possible = (
-        met.join(crowded.select("a", F.col("crowded").alias("c_a")), "a", "left")
-        .join(crowded.select(F.col("a").alias("b"), F.col("crowded").alias("c_b")), "b", "left")
+        met.join(counts.select("a", F.col("found").alias("c_a")), "a", "left")
+        .join(counts.select(F.col("a").alias("b"), F.col("found").alias("c_b")), "b", "left")
         .where(most * (100 + percent) >= total * percent)
     )
-    links = measure(possible).where("linked").select("a", "b").unionAll(_by_pivots(large, measure, percent, leaf))
+    members = large.select("region", "a", "n_a").join(counts.select("a", "crowded"), "a")
+    wanted = members.where("crowded").select("region").distinct()
+    links = measure(possible).where("linked").select("a", "b").unionAll(
+        _by_pivots(members.join(wanted, "region"), places, measure, percent, leaf)
+    )
     united = components(links, "texts")
+    discard(regions, counts)
     named = sets.select("doc_id", "copy", "n", "class").join(united.withColumnRenamed("node", "class"), "class", "left")
     named = named.withColumn("group", F.coalesce("component", "class"))
     lowest = named.where("group IS NOT NULL").groupBy("group").agg(F.min("doc_id").alias("low"))
@@ -392,6 +525,19 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT, leaf: int = LE
     )
 
 
+def _frequent_shingles(sets: DataFrame, texts: DataFrame) -> np.ndarray:
+    """Shingles that come last in the order: counted in a slice by hash, and then around what is frequent there.
+
+    Copies count each, which changes the order only.
+    """
+    seen = sets.select(F.explode("slice").alias("shingle"))
+    first = _most_frequent(seen.groupBy("shingle").agg(F.count("*").alias("n")))
+    if not len(first):
+        return first
+    near = texts.select("text").mapInArrow(_around(sets.sparkSession.sparkContext.broadcast(first)), "shingle long, n long")
+    return np.union1d(first, _most_frequent(near.groupBy("shingle").agg(F.sum("n").alias("n"))))
+
+
 def representatives(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``documents`` with one of each group of :func:`near_duplicates`: the smallest id, then ``copy``.
 
