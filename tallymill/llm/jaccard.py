@@ -26,9 +26,11 @@ _KNOWN_CLASSES = 1 << 20
 # Further shingles of a window make up for those in large regions: one for so many of the set.
 SPARE = 16
 # Parts of the space of shingles, by hash, whose counts bound a distance from below.
-BINS = 128
+BINS = 512
 # Classes that are compared at once where a region joins exhaustively, about.
 BLOCK_CLASSES = 256
+# Members of a cell that are measured against all that are not yet connected with it, in one round.
+HELPERS = 4
 
 
 def _need(size, percent: int):
@@ -327,13 +329,14 @@ def _compared(percent: int):
         for batch in batches:
             rows = zip(*(batch[name].to_pylist() for name in ("block_1", "block_2", "same")), strict=True)
             for one, two, same in rows:
-                (a, n, crowded, d, inside, bins), (a2, n2, crowded2, d2, inside2, bins2) = (
+                (a, n, crowded, d, inside, known, bins), (a2, n2, crowded2, d2, inside2, known2, bins2) = (
                     (
                         np.array([x["a"] for x in block]),
                         np.array([x["n_a"] for x in block], np.int64),
                         np.array([x["crowded"] for x in block]),
                         np.array([x["d"] for x in block]),
                         np.array([x["inside"] for x in block]),
+                        np.array([x["connected"] for x in block]),
                         np.frombuffer(b"".join(x["bins"] for x in block), np.uint8).reshape(-1, BINS).astype(np.int16),
                     )
                     for block in (one, two)
@@ -343,7 +346,9 @@ def _compared(percent: int):
                     # The distance to the pivot is exact within the ball, and no less than known outside of it.
                     apart = inside2 & (d[at] - d2 > radius + 1e-9)
                     if inside[at]:
-                        apart |= inside2 | (d2 - d[at] > radius + 1e-9)
+                        apart |= d2 - d[at] > radius + 1e-9
+                    if known[at]:
+                        apart |= known2
                     good = ~apart & (np.minimum(n[at], n2) * 100 >= np.maximum(n[at], n2) * percent) & (crowded2 | crowded[at])
                     if same:
                         good &= a2 > a[at]
@@ -368,7 +373,7 @@ def _compared(percent: int):
 def _exhausted(members: DataFrame, places: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs ``a, b, n_a, n_b`` of each region, compared block by block; only near pairs become rows."""
     block = F.pmod(F.xxhash64("a"), F.ceil(F.col("now") / BLOCK_CLASSES)).cast("int")
-    entry = F.struct("a", "n_a", "crowded", "d", "inside", "bins")
+    entry = F.struct("a", "n_a", "crowded", "d", "inside", "connected", "bins")
     blocks = stored(
         members.join(places.select(F.col("class").alias("a"), "bins"), "a")
         .groupBy("region", block.alias("block"))
@@ -384,12 +389,52 @@ def _exhausted(members: DataFrame, places: DataFrame, percent: int) -> DataFrame
     return found
 
 
+def _connected(placed: DataFrame, measure, percent: int, links: list[DataFrame]) -> DataFrame:
+    """Mark further members of each cell as connected with its pivot, through links to some that are already.
+
+    A few connected members, chosen anew by a hash in every round, are measured against all that are not, as long as
+    that connects a fifth of them. In a dense group hardly any is left to be compared with the whole of it.
+    """
+    radius = 1 - percent / 100
+    number, before = 0, placed.where("NOT connected").count()
+    while before:
+        chosen = [
+            F.min(F.struct(F.xxhash64("a", F.lit(number * HELPERS + at)).alias("h"), "a", "n_a", "d", "inside")) for at in range(HELPERS)
+        ]
+        helpers = placed.where("connected").groupBy("region").agg(F.array_distinct(F.array(*chosen)).alias("q"))
+        asked = placed.where("NOT connected").join(helpers.select("region", F.explode("q").alias("q")), "region")
+        asked = asked.where(
+            (F.least("n_a", "q.n_a") * 100 >= F.greatest("n_a", "q.n_a") * percent)
+            & (~F.col("q.inside") | (F.col("d") - F.col("q.d") <= radius + 1e-9))
+        )
+        asked = stored(
+            asked.select("region", F.col("q.a").alias("a"), F.col("a").alias("b"), F.col("q.n_a").alias("n_a"), F.col("n_a").alias("n_b")),
+            "asked",
+        )
+        linked = measure(asked).where("linked").select("a", "b")
+        links.append(linked)
+        hits = asked.join(linked, ["a", "b"]).select("region", F.col("b").alias("a"), F.lit(True).alias("hit")).distinct()
+        following = stored(
+            placed.join(hits, ["region", "a"], "left")
+            .withColumn("connected", F.col("connected") | F.coalesce("hit", F.lit(False)))
+            .drop("hit"),
+            "placed",
+        )
+        discard(placed, asked)
+        placed, number, after = following, number + 1, following.where("NOT connected").count()
+        if 5 * (before - after) < before:
+            break
+        before = after
+    return placed
+
+
 def _by_pivots(members: DataFrame, places: DataFrame, measure, percent: int, leaf: int) -> DataFrame:
-    """Links ``a, b`` of crowded classes within regions too large for a leaf: rows ``region, a, n_a, crowded``.
+    """Links ``a, b`` of crowded classes within regions too large for a leaf: rows ``region, a, n_a, crowded, heavy``.
 
-    A pivot is taken in each region, a crowded member with the smallest set, and regions of the same pivot become one, its
-    Voronoi cell. The distances of all members to it are measured. Those within the radius are its ball: they are linked
-    through it and need not be compared with each other. What lies outside goes on as a region of its own, together
+    A pivot is taken in each region, the crowded member with most shingles in large regions, and regions of the same pivot become
+    one, its Voronoi cell. The distances of all members to it are measured. Those within the radius are its ball: they are linked
+    through it and need not be compared with each other, and so are others through them (:func:`_connected`). What lies
+    outside goes on as a region of its own, together
     with the boundary: members of the ball from which some outsider may be within the radius by the triangle
     inequality. A region joins exhaustively, block by block and under the windows of the same inequality (:func:`_compared`),
     as soon as it is a leaf or a pivot no longer halves it.
@@ -397,12 +442,12 @@ def _by_pivots(members: DataFrame, places: DataFrame, measure, percent: int, lea
     radius = 1 - percent / 100
     fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
     links = []
-    left = stored(members.select("region", "a", "n_a", "crowded"), "region")
+    left = stored(members.select("region", "a", "n_a", "crowded", "heavy"), "region")
     while not left.isEmpty():
-        pivots = left.groupBy("region").agg(F.min(F.struct(~F.col("crowded"), "n_a", "a")).alias("p"))
+        pivots = left.groupBy("region").agg(F.min(F.struct(~F.col("crowded"), -F.col("heavy"), "n_a", "a")).alias("p"))
         pivots = pivots.select("region", F.col("p.a").alias("pivot"), F.col("p.n_a").alias("n_p"))
         cells = stored(
-            left.join(pivots, "region").select(F.col("pivot").alias("region"), "n_p", "a", "n_a", "crowded").distinct(), "cells"
+            left.join(pivots, "region").select(F.col("pivot").alias("region"), "n_p", "a", "n_a", "crowded", "heavy").distinct(), "cells"
         )
         sizes = cells.groupBy("region").agg(F.count("*").alias("size"))
         others = cells.where("a <> region")
@@ -422,21 +467,24 @@ def _by_pivots(members: DataFrame, places: DataFrame, measure, percent: int, lea
                 "a",
                 "n_a",
                 "crowded",
+                "heavy",
                 "size",
                 F.coalesce("d", bound).alias("d"),
                 F.coalesce("linked", F.lit(False)).alias("inside"),
+                F.coalesce("linked", F.lit(False)).alias("connected"),
             ),
             "placed",
         )
-        outside = placed.where("NOT inside").groupBy("region").agg(F.min("d").alias("nearest"))
+        placed = _connected(placed, measure, percent, links)
+        outside = placed.where("NOT connected").groupBy("region").agg(F.min("d").alias("nearest"))
         kept = placed.join(outside, "region").where(~F.col("inside") | (F.col("d") >= F.col("nearest") - radius - 1e-9))
         now = kept.groupBy("region").agg(F.count("*").alias("now"), F.max("crowded").alias("any")).where("any AND now > 1")
-        kept = stored(kept.join(now, "region").select("region", "a", "n_a", "crowded", "d", "inside", "size", "now"), "kept")
+        kept = stored(kept.join(now, "region").drop("nearest", "any"), "kept")
         final = (F.col("now") <= leaf) | (F.col("now") * 2 > F.col("size"))
         measured = measure(_exhausted(kept.where(final), places, percent))
         links.append(measured.where("linked").select("a", "b"))
         discard(left, cells, placed)
-        left = stored(kept.where(~final).select("region", "a", "n_a", "crowded"), "region")
+        left = stored(kept.where(~final).select("region", "a", "n_a", "crowded", "heavy"), "region")
         discard(kept)
     result = links[0] if links else members.select("a", F.col("a").alias("b")).where(F.lit(False))
     for more in links[1:]:
@@ -506,7 +554,7 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT, leaf: int = LE
         .join(counts.select(F.col("a").alias("b"), F.col("found").alias("c_b")), "b", "left")
         .where(most * (100 + percent) >= total * percent)
     )
-    members = large.select("region", "a", "n_a").join(counts.select("a", "crowded"), "a")
+    members = large.select("region", "a", "n_a").join(counts, "a").withColumn("heavy", F.col("found") / F.col("n_a"))
     wanted = members.where("crowded").select("region").distinct()
     links = measure(possible).where("linked").select("a", "b").unionAll(
         _by_pivots(members.join(wanted, "region"), places, measure, percent, leaf)
