@@ -8,16 +8,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.llm.hnsw import Graph, unit
-from tallymill.llm.tables import components, discard, stored
+from tallymill.llm.tables import components, stored
 
 COSINE = 0.9
 # Shards are no fewer, and hold no more values, than this; queries of a shard are dealt to tasks in such portions.
 LEAST_SHARDS = 8
 SHARD_VALUES = 1 << 22
 QUERY_VALUES = 1 << 20
-# Vectors compared with all others by brute force to audit the search, about, and the recall they have to reach.
-AUDITED = 256
+# The recall that the search has to reach, as the mean over audited vectors. These are drawn in rounds until ``LINKED`` of them
+# have links outside large groups, or their values are ``AUDIT_VALUES``. So many in large groups are searched.
 RECALL = 0.99
+LINKED = 300
+AUDITED = 512
+AUDIT_VALUES = 1 << 19
+OF_LARGE = 128
+# Vectors with more links than this, and than half of the most links of any, are in large groups.
+LARGE = 16
+# Audited vectors that a task searches for at once.
+AUDIT_ROWS = 64
 BEAM = 48
 
 
@@ -101,34 +109,108 @@ def _searcher(beam: int, least: float):
     return search
 
 
-def _true_links(classes: DataFrame, least: float, total: int) -> tuple[list, int]:
-    """Ids of the audited vectors, and how many links they have, by comparing them with all others.
+def _drawn(classes: DataFrame, begin: float, end: float) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Ids and unit vectors of the classes, by their length, with a hash in this part of its range."""
+    steps = 1 << 30
+    place = F.pmod(F.xxhash64(F.lit("audit"), "rep"), F.lit(steps))
+    table = classes.where((place >= int(begin * steps)) & (place < int(end * steps))).select("rep", "dim", "v").orderBy("rep").toArrow()
+    dims = table["dim"].to_numpy()
+    parts = {int(dim): table.filter(pa.array(dims == dim)) for dim in np.unique(dims)}
+    return {dim: (part["rep"].to_numpy(), unit(_matrix(part, dim))) for dim, part in parts.items()}
+
+
+def _links_of(graphs: DataFrame, sample: dict[int, tuple], least: float, beam: int) -> dict[int, np.ndarray]:
+    """How many classes the search links with each vector of the sample; a beam as wide as a shard finds all.
 
-    The audited ones are chosen by a hash and their number is bounded, so they are sent to all tasks.
+    Of each vector the sample has the id, the values, and whether it is planted and so no class itself.
     """
-    steps = 1 << 30
-    share = min(steps, -(-AUDITED * steps // max(1, total)))
-    audited = classes.where(F.pmod(F.xxhash64(F.lit("audit"), "rep"), F.lit(steps)) < share).select("rep", "dim", "v").collect()
-    groups = {}
-    for row in audited:
-        groups.setdefault(row["dim"], []).append((row["rep"], row["v"]))
-    sample = {dim: (np.array([r for r, _ in rows]), unit(np.array([v for _, v in rows]))) for dim, rows in groups.items()}
-    shared = classes.sparkSession.sparkContext.broadcast(sample)
-
-    def count(batches):
-        for batch in batches:
-            links = 0
-            dims = batch["dim"].to_numpy()
-            for dim, (reps, units) in shared.value.items():
-                part = batch.filter(pa.array(dims == dim))
-                if len(part):
-                    vectors = unit(part["v"].flatten().to_numpy(zero_copy_only=False).reshape(-1, dim))
-                    close = (vectors @ units.T >= least) & (part["rep"].to_numpy()[:, None] != reps)
-                    links += int((close * part["copies"].to_numpy()[:, None]).sum())
-            yield pa.record_batch([pa.array([links], pa.int64())], ["links"])
-
-    true = classes.select("rep", "dim", "copies", "v").mapInArrow(count, "links long").agg(F.sum("links")).first()[0] or 0
-    return [row["rep"] for row in audited], true
+    spark = graphs.sparkSession
+    shared = spark.sparkContext.broadcast(sample)
+
+    def count(table: pa.Table) -> pa.Table:
+        dim = table["dim"][0].as_py()
+        reps, vectors, planted = shared.value.get(dim, (np.empty(0, np.int64), np.empty((0, dim)), np.empty(0, bool)))
+        links = np.zeros(len(reps), np.int64)
+        graph, own = Graph.from_bytes(table["graph"][0].as_py())
+        for begin in range(0, len(reps), AUDIT_ROWS):
+            query, node = graph.within(vectors[begin : begin + AUDIT_ROWS], least, beam)
+            query = query + begin
+            other = planted[query] | (reps[query] != own["rep"][node])
+            links += np.bincount(query[other], minlength=len(reps))
+        at = np.flatnonzero(links)
+        return pa.table({"dim": pa.array(np.full(len(at), dim), pa.int32()), "at": pa.array(at, pa.int64()), "links": pa.array(links[at], pa.int64())})
+
+    found = graphs.groupBy("dim", "shard").applyInArrow(count, "dim int, at long, links long").groupBy("dim", "at").agg(F.sum("links").alias("links"))
+    result = {dim: np.zeros(len(reps), np.int64) for dim, (reps, *_) in sample.items()}
+    for dim, at, links in found.collect():
+        result[dim][at] = links
+    shared.destroy()
+    return result
+
+
+def _large(links: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    most = max((int(n.max()) for n in links.values() if len(n)), default=0)
+    return {dim: n > max(LARGE, most / 2) for dim, n in links.items()}
+
+
+def _planted(sample: dict[int, tuple], usable: dict[int, np.ndarray], wanted: int, least: float) -> dict[int, tuple]:
+    """Vectors little closer than ``least`` to sampled ones in random directions, ``wanted`` in all."""
+    bases = sum(int(which.sum()) for which in usable.values())
+    cosine = least + 0.1 * (1 - least)
+    planted = {}
+    for dim, (reps, vectors, _) in sample.items():
+        at = np.flatnonzero(usable[dim])
+        if dim < 2 or not len(at):
+            continue
+        at = np.resize(at, -(-wanted * len(at) // bases))
+        aside = np.random.default_rng(dim).normal(size=(len(at), dim))
+        aside = unit(aside - np.einsum("ij,ij->i", aside, vectors[at])[:, None] * vectors[at])
+        near = cosine * vectors[at] + np.sqrt(1 - cosine**2) * aside
+        planted[dim] = (reps[at], near, np.ones(len(at), bool))
+    return planted
+
+
+def _audited(classes: DataFrame, graphs: DataFrame, least: float, largest: int, total: int, widest: int) -> list[tuple[dict, dict]]:
+    """Samples with the true numbers of links of their vectors: those outside large groups, and those in large ones."""
+    share, begin, sample, links = min(1.0, AUDITED / total), 0.0, {}, {}
+    most = min(1.0, AUDIT_VALUES / (total * widest))
+    while True:
+        share = min(share, most)
+        drawn = {dim: (*part, np.zeros(len(part[0]), bool)) for dim, part in _drawn(classes, begin, share).items()}
+        more = _links_of(graphs, drawn, least, largest) if drawn else {}
+        for dim, part in drawn.items():
+            before = sample.get(dim)
+            sample[dim] = part if before is None else tuple(np.concatenate(pair) for pair in zip(before, part, strict=True))
+            links[dim] = np.concatenate([links[dim], more[dim]]) if before is not None else more[dim]
+        large = _large(links)
+        linked = sum(int(((n > 0) & ~large[dim]).sum()) for dim, n in links.items())
+        if linked >= LINKED or share >= most:
+            break
+        begin, share = share, 4 * share
+    pick = lambda which: {dim: tuple(values[which[dim]] for values in part) for dim, part in sample.items()}
+    small = {dim: (n > 0) & ~large[dim] for dim, n in links.items()}
+    in_large = {dim: large[dim] & (np.cumsum(large[dim]) <= OF_LARGE) for dim in links}
+    audits = [(pick(which), {dim: links[dim][which[dim]] for dim in links}) for which in (small, in_large)]
+    if linked < LINKED:
+        planted = _planted(sample, {dim: ~large[dim] for dim in links}, LINKED - linked, least)
+        true = _links_of(graphs, planted, least, largest) if planted else {}
+        part, of_small = audits[0]
+        for dim, new in planted.items():
+            part[dim] = tuple(np.concatenate(pair) for pair in zip(part[dim], new, strict=True))
+            of_small[dim] = np.concatenate([of_small[dim], true[dim]])
+    return audits
+
+
+def _wide_enough(graphs: DataFrame, audits: list[tuple[dict, dict]], least: float, beam: int, largest: int) -> int:
+    """The first doubling of the beam that reaches ``RECALL`` on each of the samples, or one as wide as a shard."""
+    for sample, true in audits:
+        while beam < largest:
+            found = _links_of(graphs, sample, least, beam)
+            shares = np.concatenate([found[dim][n > 0] / n[n > 0] for dim, n in true.items()] or [np.ones(0)])
+            if not len(shares) or shares.mean() >= RECALL:
+                break
+            beam *= 2
+    return beam
 
 
 def linked_vectors(vectors: DataFrame, least: float = COSINE, beam: int = BEAM) -> DataFrame:
@@ -137,9 +219,13 @@ def linked_vectors(vectors: DataFrame, least: float = COSINE, beam: int = BEAM)
     Equal vectors are one class with a number of copies. Classes are dealt to shards by a hash and a navigable small-world
     graph is built of each (a shard holds at most about ``SHARD_VALUES`` numbers). Every class queries
     every shard: it walks the shard's graph with a beam, which widens while it is full of links, and each
-    link found is verified by its cosine in double precision. About ``AUDITED`` vectors are also compared with
-    all others by brute force. While the search has found fewer than ``RECALL`` of their links, the beam is doubled
-    and the search repeated; a beam as wide as a shard compares everything.
+    link found is verified by its cosine in double precision.
+
+    Before that the beam is audited. Classes drawn by a hash are compared with all others by brute force, until ``LINKED`` of
+    them have links outside large groups (:data:`LARGE`) or a bounded number is drawn. The mean share of its linked classes that a search
+    finds, copies counted once, has to be ``RECALL`` over those outside large groups, and over those in large groups; while it is not, the beam is
+    doubled. Where links are too rare for ``LINKED`` such classes, the rest of them are vectors planted near drawn
+    ones, just within ``least``. A beam as wide as a shard compares everything.
 
     Tasks return numbers of links and, of the links themselves, a forest of each shard and portion of queries,
     so that the links within a large group are counted but not stored. Components are united from the forests.
@@ -165,22 +251,16 @@ def linked_vectors(vectors: DataFrame, least: float = COSINE, beam: int = BEAM)
         "dealt",
     )
     graphs = stored(dealt.groupBy("dim", "shard").applyInArrow(_built, "dim int, shard long, graph binary"), "graphs")
-    audited, true = _true_links(classes, least, total)
     key = ["dim", "shard", "portion"]
     copies = graphs.join(plan, "dim").withColumn("portion", F.explode(F.sequence(F.lit(0), F.col("portions") - 1)))
     every = F.explode(F.sequence(F.lit(0), F.col("shards") - 1))
     queries = dealt.select("dim", "portion", "rep", "v", every.alias("shard"))
     largest = dealt.groupBy("dim", "shard").count().agg(F.max("count")).first()[0]
-    while True:
-        search = _searcher(beam, least)
-        found = stored(
-            queries.groupBy(*key).cogroup(copies.groupBy(*key)).applyInArrow(search, "a long, b long, links long"), "found"
-        )
-        known = found.where(F.col("b").isNull() & F.col("a").isin(audited)).agg(F.sum("links")).first()[0] or 0
-        if known >= RECALL * true or beam >= largest:
-            break
-        discard(found)
-        beam *= 2
+    if beam < largest:
+        audits = _audited(classes, graphs, least, largest, total, max(row["dim"] for row in sizes))
+        beam = _wide_enough(graphs, audits, least, beam, largest)
+    search = _searcher(beam, least)
+    found = stored(queries.groupBy(*key).cogroup(copies.groupBy(*key)).applyInArrow(search, "a long, b long, links long"), "found")
     links = found.where("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     united = components(found.where("b IS NOT NULL").select("a", "b"), "vectors")
     of_class = (

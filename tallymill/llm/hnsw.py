@@ -209,8 +209,14 @@ class Graph:
         return query[keep], node[keep]
 
     def _all_within(self, exact: np.ndarray, part: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-        at, node = np.nonzero(exact[part] @ self.vectors.T >= least - 1e-9)
-        return part[at], node
+        at, node = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        step = max(1, (1 << 22) // len(self.vectors))
+        for begin in range(0, len(part), step):
+            some = part[begin : begin + step]
+            row, near = np.nonzero(exact[some] @ self.vectors.T >= least - 1e-9)
+            at.append(some[row])
+            node.append(near)
+        return np.concatenate(at), np.concatenate(node)
 
     def to_bytes(self, **more: np.ndarray) -> bytes:
         out = io.BytesIO()

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallymill.llm import embedding_dedup, jaccard, substring_dedup
@@ -150,6 +151,28 @@ def test_no_vectors(spark):
     assert embedding_dedup.linked_vectors(frame).count() == 0
 
 
+def near_vectors(draw, vectors, cosine):
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    aside = draw.normal(size=unit.shape)
+    aside -= (aside * unit).sum(1)[:, None] * unit
+    aside /= np.linalg.norm(aside, axis=1)[:, None]
+    return cosine * unit + np.sqrt(1 - cosine**2) * aside
+
+
+@pytest.mark.parametrize(("alone", "pairs", "hot"), [(2000, 200, 400), (2500, 12, 0)])
+def test_pairs_are_found_beside_a_hot_group_and_where_links_are_rare(spark, monkeypatch, alone, pairs, hot):
+    monkeypatch.setattr(embedding_dedup, "LEAST_SHARDS", 1)
+    draw = np.random.default_rng(4)
+    firsts = draw.normal(size=(pairs, 64))
+    group = draw.normal(size=64) + 0.02 * draw.normal(size=(hot, 64))
+    vectors = np.concatenate([firsts, near_vectors(draw, firsts, 0.91), group, draw.normal(size=(alone, 64))])
+    frame = spark.createDataFrame(pa.table({"vec_id": np.arange(len(vectors)), "embedding": list(vectors)}))
+    # A beam that is too narrow for pairs, and still finds the links of a hot group by doubling.
+    found = {row.vec_id: row.n_links for row in embedding_dedup.linked_vectors(frame, beam=1).where("n_links > 0").collect()}
+    assert sum(found.get(key, 0) == 1 for key in range(2 * pairs)) >= 0.98 * 2 * pairs
+    assert sum(found.get(2 * pairs + key, 0) for key in range(hot)) >= 0.99 * hot * (hot - 1)
+
+
 def test_beams_widen_for_large_groups():
     vectors = vectors_with_groups(3, 1, 400, 0.05)
     query, node = Graph.build(vectors).within(vectors, 0.9, 16)
