@@ -43,7 +43,8 @@ class _Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool, bool]] = []  # tag, aside, inside an article, inside a header
+        self.open: list[tuple[str, bool, bool, bool, frozenset]] = []  # tag, aside, inside an article, inside a header, doubtful marks
+        self.marks: list[bool] = []  # of each doubtful mark whether it is one of remarks
         self.links = 0
         self.lines: list[list] = []
         self.text: list[str] = []
@@ -52,8 +53,8 @@ class _Lines(HTMLParser):
     def _break(self):
         words = " ".join("".join(self.text).split())
         if words or self.tags:
-            aside, article = self.open[-1][1:3] if self.open else (False, False)
-            self.lines.append([words, self.tags, self.linked, aside, article, self.region])
+            aside, article, _, doubts = self.open[-1][1:] if self.open else (False, False, False, frozenset())
+            self.lines.append([words, self.tags, self.linked, aside, article, self.region, doubts])
         self.text, self.tags, self.linked = [], 0, 0
 
     def _close(self, depth: int):
@@ -75,31 +76,32 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        aside, article, header = self.open[-1][1:] if self.open else (False, False, False)
-        names = {
-            name
-            for key, value in attrs
-            if value and key in ("class", "id", "role", "aria-label")
-            for name in _NAMES.findall(value.lower())
-        }
+        above = self.open[-1][1:] if self.open else (False, False, False, frozenset())
+        aside, article, header, doubts = above
+        whole = {name for k, v in attrs if v and k in ("class", "id", "role", "aria-label") for name in v.lower().split()}
+        names = {part for name in whole for part in _NAMES.findall(name)}
         if tag == "article" or tag == "main" or "main" in {v for k, v in attrs if k == "role"}:
             aside = aside or bool(names & REMARKS)
+            doubts = frozenset(mark for mark in doubts if self.marks[mark])
             if not article:
                 self.region += 1
             article = True
         elif tag not in ("html", "body"):
             header = header or tag == "header"
-            aside = aside or tag in ASIDE or tag in SILENT or bool(names & MARKED) or tag == "header" and not article
+            aside = aside or tag in ASIDE or tag in SILENT or bool(whole & MARKED) or tag == "header" and not article
+            if not aside and names & MARKED:
+                doubts |= {len(self.marks)}
+                self.marks.append(bool(names & REMARKS))
         if tag == "a":
             self.links += 1
-        if aside and tag not in SILENT and not (self.open and self.open[-1][1]):
+        if tag not in SILENT and (aside, doubts) != (above[0], above[3]):
             self._break()
-        self.open.append((tag, aside, article, header))
+        self.open.append((tag, aside, article, header, doubts))
 
     def handle_endtag(self, tag):
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] == tag:
-                if tag in BLOCKS or self.open[at][1] and tag not in SILENT:
+                if tag in BLOCKS or (self.open[at][1] or self.open[at][4]) and tag not in SILENT:
                     self._close(at)
                 else:
                     self.links -= sum(name == "a" for name, *_ in self.open[at:])
@@ -133,11 +135,27 @@ def _threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
+def _settle(lines: list[list], marks: int) -> None:
+    """Lines below a doubtful mark are aside, unless what it marks holds half of the unlinked text that is not aside."""
+    total, sums = 0, [0] * marks
+    for words, _, linked, aside, _, _, doubts in lines:
+        if not aside:
+            size = max(0, len(words) - linked)
+            total += size
+            for mark in doubts:
+                sums[mark] += size
+    minor = {mark for mark, size in enumerate(sums) if 2 * size < total}
+    for line in lines:
+        line[3] = line[3] or not minor.isdisjoint(line[6])
+
+
 def main_text(html: str | None) -> str:
     """The article of a page: its blocks in order, joined by a space.
 
     The events of the parser make lines, one for each block. A line's text-to-tag ratio is the length of its unlinked text
-    by its tags; what the page marks as navigation, notice, advert, form, comment and the like counts as tags only.
+    by its tags; what the page marks as navigation, notice, advert, form, comment and the like counts as tags only. A word that is
+    just a part of a class name or id (``has-sidebar``) marks only what holds a minor part of the text, and no ``article`` or
+    ``main`` inside, save for comments.
     The ratios are smoothed by a Gaussian along the page and split into two clusters. Where the page names its content
     (``article``, ``main``), these elements are the regions, and those in which lines of the upper cluster hold most of
     the text are taken whole, or else the one with the longest text; otherwise the lines of the upper cluster are taken.
@@ -150,7 +168,8 @@ def main_text(html: str | None) -> str:
     parser.close()
     parser._break()
     lines = parser.lines
-    usable = [bool(words) and not aside for words, _, _, aside, _, _ in lines]
+    _settle(lines, len(parser.marks))
+    usable = [bool(words) and not aside for words, _, _, aside, *_ in lines]
     if not any(usable):
         return ""
     ratios = np.array(
@@ -164,7 +183,7 @@ def main_text(html: str | None) -> str:
     smooth = np.convolve(np.pad(ratios, RADIUS, mode="edge"), kernel / kernel.sum(), mode="valid")
     upper = smooth >= _threshold(smooth)
     regions: dict[int, list[int]] = {}
-    for (words, _, _, _, article, region), good, high in zip(lines, usable, upper, strict=True):
+    for (words, _, _, _, article, region, _), good, high in zip(lines, usable, upper, strict=True):
         if article and good:
             sums = regions.setdefault(region, [0, 0])
             sums[0] += len(words)

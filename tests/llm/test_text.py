@@ -97,6 +97,14 @@ def test_main_text_of_named_content(body):
     assert html_text.main_text(PAGE.format(body=body)) == EXPECTED
 
 
+@pytest.mark.parametrize("name", ["layout has-sidebar", "no-comments", "content-with-header", "post-share-enabled"])
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_main_text_inside_wrappers_with_marked_words(name, tag):
+    story = "".join(f"<p>{'A long sentence about the matter at hand. ' * 4}</p>" for _ in range(6))
+    html = f"<body><div class='site-footer'>About</div><div class='{name}'><{tag}>{story}</{tag}></div><div class='comments-area'><article>I agree</article></div></body>"
+    assert html_text.main_text(html) == " ".join(["A long sentence about the matter at hand."] * 24)
+
+
 def test_main_text_by_ratios_alone():
     story = "".join(f"<p>{'A long sentence about the matter at hand. ' * 4}</p>" for _ in range(6))
     links = "".join(f"<div><a href='/{n}'>Go {n}</a></div>" for n in range(12))
