@@ -52,7 +52,8 @@ def _sketches(items: DataFrame, percent: int) -> DataFrame:
     size = F.size("texts")
     need = F.ceil(size * percent / 100)
     return (
-        items.select(F.col("item_id").alias("item"), word_array(lower_ascii(F.col("text"))).alias("words"))
+        items.where("item_id IS NOT NULL")
+        .select(F.col("item_id").alias("item"), word_array(lower_ascii(F.col("text"))).alias("words"))
         .withColumn("texts", shingles(F.col("words")))
         .select(
             "item",

@@ -44,6 +44,14 @@ def test_leaks_of_nothing(spark):
     assert decontamination.leaks(frame(spark, NULLS), items).count() == 0
 
 
+@pytest.mark.parametrize("most_sent", [0, 1 << 14])
+def test_items_without_an_id_match_nothing(spark, most_sent):
+    items = spark.createDataFrame([(None, "a b c d e f g"), (3, "h i j k l m n")], "item_id long, text string")
+    documents = frame(spark, [(1, "a b c d e f g", "s", 0), (2, "h i j k l m n", "s", 0)])
+    found = decontamination.leaks(documents, items, most_sent=most_sent)
+    assert [tuple(row) for row in found.collect()] == [(2, 3, 3, 3)]
+
+
 def test_long_document_holds_a_short_item(spark):
     draw = random.Random(4)
     item = " ".join(str(draw.random()) for _ in range(20))
