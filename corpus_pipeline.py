@@ -16,7 +16,8 @@ HELD_OUT = "crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 4 = 2"
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; a missing label is filled in. Those without a letter go.
 
-    Short texts of unseen words have low scores but are clean, so the score rejects none.
+    Short texts of unseen words have low scores but are clean, so the score rejects none: the model decides no row, and a
+    label that is given stays, even a wrong one.
     """
     model = language.fit(docs.where(f"NOT coalesce({HELD_OUT}, false)"))
     found = language.predicted(docs.select(*COLUMNS), model)
@@ -37,16 +38,21 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    leaks = decontamination.leaks(docs, load(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(leaks, "doc_id", "left_anti").select(*COLUMNS)
+    """Documents that hold no benchmark item. They are told apart by id, null or not, and text."""
+    keyed = docs.select(*COLUMNS).withColumn("key", F.struct("doc_id", F.xxhash64("text").alias("text_key")))
+    leaks = decontamination.leaks(keyed.select(F.col("key").alias("doc_id"), "text"), load(spark, sf_dir, "benchmark"))
+    return keyed.join(leaks.select(F.col("doc_id").alias("key")).distinct(), "key", "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mixture takes words from, and how many."""
-    mixed = mixing.mixed_sources(docs).where("taken > 0")
-    taken = mixed.groupBy("doc_id").agg(F.max("size").alias("size"), F.max("taken").alias("taken"))
-    return docs.select(*COLUMNS).join(taken, "doc_id").select(*COLUMNS, "size", "taken")
+    """The documents that the mixture takes words from, and how many. They are told apart by id, null or not, and text."""
+    keyed = docs.select(*COLUMNS).withColumn("text_key", F.xxhash64("text"))
+    mixed = mixing.mixed_sources(keyed, keep=("text_key",)).where("taken > 0")
+    taken = mixed.groupBy(F.col("doc_id").alias("id"), F.col("text_key").alias("of_text")).agg(
+        F.max("size").alias("size"), F.max("taken").alias("taken")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("of_text"))
+    return keyed.join(taken, same).select(*COLUMNS, "size", "taken")
 
 
 STAGES = [

@@ -82,6 +82,7 @@ def mixed_sources(
     weights: tuple[int, ...] = WEIGHTS,
     block_words: int = BLOCK_WORDS,
     seed: int = SEED,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """How many words of every document the mixture takes.
 
@@ -97,10 +98,10 @@ def mixed_sources(
 
     A document is taken to the extent that its blocks are, at most ``MOST_PASSES`` times. Null text
     has no words; documents without words are returned with ``taken`` 0. A null source is a source. Repeated
-    rows are documents of their own. Other columns of ``documents`` are ignored.
+    rows are documents of their own. Other columns of ``documents`` than those to ``keep``, which come last, are ignored.
     """
     sized = stored(
-        documents.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")),
+        documents.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), *keep),
         "sizes",
     )
     aims = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights), "targets")
@@ -163,5 +164,6 @@ def mixed_sources(
             "source_size",
             "target",
             (F.col("passes") * F.col("size") + part).cast("long").alias("taken"),
+            *keep,
         )
     )

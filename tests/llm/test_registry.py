@@ -80,6 +80,19 @@ def test_pipeline_equals_plain_stages(spark):
     assert next(stages, None) is None
 
 
+def test_pipeline_stages_tell_null_and_repeated_ids_apart(spark):
+    item = spark.read.parquet(f"{SMALL}/benchmark.parquet").where("item_id IS NOT NULL AND size(split(text, ' ')) > 10").first().text
+    clean = ["clean words " * 100, "some more clean words here " * 60]
+    rows = [(key, text, "en", "s", len(text)) for key in (None, 7) for text in (item, *clean)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.remove_leaks(spark, docs, SMALL)
+    expected = [(key, text) for key in ("7", "None") for text in clean]
+    assert sorted((str(r.doc_id), r.text) for r in left.collect()) == expected
+    mixed = corpus_pipeline.mix_sources(spark, left, SMALL).collect()
+    assert sorted((str(r.doc_id), r.text) for r in mixed) == expected
+    assert all(r["size"] == len(r.text.split()) and r.taken == r["size"] for r in mixed)
+
+
 def test_pipeline_drops_what_has_no_letters(spark):
     rows = [(1, "123 456", None, "s", 7), (2, None, "en", "s", 0)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
