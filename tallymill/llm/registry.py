@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from tallymill.llm import chat, decontamination, embedding_dedup, html_text, jaccard, language, line_dedup, mixing, personal_data, substring_dedup
+from tallymill.llm import chat, decontamination, embedding_dedup, html_text, jaccard, language, line_dedup, mixing, personal_data, substring_dedup, token_counts
 from tallymill.llm.oracles import ORACLES  # noqa: F401
 from tallymill.llm.tables import load
 from tallymill.llm.text import word_array
@@ -98,6 +99,12 @@ def op10_language(spark, sf):
     return found.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op13_token_counts(spark, sf):
+    documents = load(spark, sf, "documents").select("doc_id", "text")
+    counted = token_counts.token_counts(documents, public_tokenizers.path("word_bpe_49k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_personal_data": op2_personal_data,
@@ -109,4 +116,5 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_main_text": op9_main_text,
     "op10_language": op10_language,
+    "op13_token_counts": op13_token_counts,
 }
