@@ -115,9 +115,87 @@ SELECT doc_id, size, source_size, target,
 FROM parts GROUP BY doc_id, size, source_size, target, stop
 """
 
+_REPAIR = r"""
+WITH RECURSIVE numbers AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    list_reduce(list_prepend(4294967295::UBIGINT, list_transform(
+      range(1, 1 + length(hex(encode(name))) // 2), lambda i : ('0x' || substr(hex(encode(name)), 2 * i - 1, 2))::UBIGINT)),
+      lambda x, b : list_reduce(list_prepend(xor(x, b), list_transform(range(8), lambda k : 0::UBIGINT)),
+        lambda y, k : xor(y >> 1, (y & 1) * 3988292384::UBIGINT))) AS rest
+  FROM (SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations)
+), kinds AS (
+  SELECT *, xor(rest, 4294967295::UBIGINT) % 20 AS kind FROM numbers
+), left_over AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM (SELECT *, unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) FROM kinds WHERE kind <> 0)
+), ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS again,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+  FROM left_over
+), judged AS (
+  SELECT conv_id, turn, role, text, i, left(role, 1) AS initial,
+    CASE WHEN bare = '' THEN 1 WHEN again THEN 2 WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+    lead(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS following
+  FROM ordered
+), figures AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 1) AS blank,
+    count_if(fault = 2) AS duplicate, count_if(fault = 3) AS truncated, max(i) AS n,
+    count_if(following IS NOT NULL AND initial || following NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id
+), steps(before, initial, after) AS (
+  VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)
+), walks AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS state, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS said, n FROM figures
+  UNION ALL
+  SELECT conv_id, i, state, cost, audit, said, n FROM (
+    -- Up to two inserts, then the edit of the next row; at the end there is only the former.
+    WITH once AS (
+      SELECT w.conv_id, w.i, after AS state, cost + 2 AS cost, audit || 'I' AS audit, n,
+        list_append(said, CASE s.initial WHEN 'u' THEN 'user:' ELSE 'assistant:' END) AS said
+      FROM walks w JOIN steps s ON w.state = s.before WHERE s.initial <> 's' AND w.i <= n
+    ), twice AS (
+      SELECT w.conv_id, w.i, after AS state, cost + 2 AS cost, audit || 'I' AS audit, n,
+        list_append(said, CASE s.initial WHEN 'u' THEN 'user:' ELSE 'assistant:' END) AS said
+      FROM once w JOIN steps s ON w.state = s.before WHERE s.initial <> 's'
+    ), ready AS (
+      SELECT conv_id, i, state, cost, audit, n, said FROM walks WHERE i <= n
+      UNION ALL SELECT conv_id, i, state, cost, audit, n, said FROM once UNION ALL SELECT conv_id, i, state, cost, audit, n, said FROM twice
+    ), edited AS (
+      SELECT w.conv_id, w.i + 1 AS i, w.state, cost + 3 AS cost, audit || 'D' AS audit, said, n
+      FROM ready w WHERE w.i < n
+      UNION ALL
+      SELECT w.conv_id, w.i + 1, s.after, cost + (CASE WHEN fault = 3 THEN 1 ELSE 0 END), audit || 'K',
+        list_append(said, j.role || ':' || j.text), n
+      FROM ready w JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.i = w.i + 1
+        JOIN steps s ON s.before = w.state AND s.initial = j.initial WHERE j.fault NOT IN (1, 2)
+      UNION ALL
+      SELECT w.conv_id, w.i + 1, s.after, cost + 2 + (CASE WHEN fault = 3 THEN 1 ELSE 0 END), audit || 'R',
+        list_append(said, CASE s.initial WHEN 'u' THEN 'user:' ELSE 'assistant:' END || j.text), n
+      FROM ready w JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.i = w.i + 1
+        JOIN steps s ON s.before = w.state AND s.initial <> 's' WHERE j.fault NOT IN (1, 2)
+      UNION ALL
+      SELECT conv_id, i + 1, state, cost, audit, said, n FROM ready WHERE i = n
+    )
+    SELECT * FROM edited QUALIFY row_number() OVER (PARTITION BY conv_id, i, state ORDER BY cost, audit) = 1
+  )
+), best AS (
+  SELECT conv_id, cost, audit, array_to_string(said, chr(10)) AS said FROM walks WHERE i = n + 1 AND state IN (0, 3)
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY cost, audit) = 1
+)
+SELECT every.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(said, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) every
+  LEFT JOIN figures ON figures.conv_id IS NOT DISTINCT FROM every.conv_id
+  LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM every.conv_id
+"""
+
 ORACLES = {
     "op3_benchmark_leaks": _LEAKS,
     "op4_line_dedup": _LINES,
     "op6_chat_format": _CHAT,
     "op7_source_mix": _MIX,
+    "op11_conversation_repair": _REPAIR,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from tallymill.llm import chat, decontamination, embedding_dedup, html_text, jaccard, language, line_dedup, mixing, personal_data, substring_dedup, token_counts
+from tallymill.llm import chat, decontamination, embedding_dedup, html_text, jaccard, language, line_dedup, mixing, personal_data, repair, substring_dedup, token_counts
 from tallymill.llm.oracles import ORACLES  # noqa: F401
 from tallymill.llm.tables import load
 from tallymill.llm.text import word_array
@@ -99,6 +99,10 @@ def op10_language(spark, sf):
     return found.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op11_conversation_repair(spark, sf):
+    return repair.repaired(load(spark, sf, "conversations").select("conv_id", "turn", "role", "text"))
+
+
 def op13_token_counts(spark, sf):
     documents = load(spark, sf, "documents").select("doc_id", "text")
     counted = token_counts.token_counts(documents, public_tokenizers.path("word_bpe_49k.json"))
@@ -116,5 +120,6 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_main_text": op9_main_text,
     "op10_language": op10_language,
+    "op11_conversation_repair": op11_conversation_repair,
     "op13_token_counts": op13_token_counts,
 }

@@ -93,8 +93,10 @@ def frequent_words(documents: DataFrame, text: str = "text", most: int = FREQUEN
     ).agg(F.expr(f"approx_top_k_accumulate(word, {TRACKED})").alias("sketch"))
     combined = F.expr(f"approx_top_k_combine(sketch, {TRACKED})").alias("sketch")
     fewer = sketches.groupBy(F.pmod("part", F.lit(MERGES[1])).alias("part")).agg(combined)
-    row = fewer.agg(combined).select(F.expr(f"approx_top_k_estimate(sketch, {most})").alias("found")).first()
-    return [entry["item"] for entry in row["found"]] if row and row["found"] else []
+    # Grouped by a constant, no words give no row rather than a sketch of nothing.
+    whole = fewer.groupBy(F.lit(0).alias("part")).agg(combined)
+    row = whole.select(F.expr(f"approx_top_k_estimate(sketch, {most})").alias("found")).first()
+    return [entry["item"] for entry in row["found"]] if row else []
 
 
 def token_counts(documents: DataFrame, tokenizer_path: str, limit: int = LIMIT, text: str = "text") -> DataFrame:
