@@ -192,10 +192,43 @@ FROM (SELECT DISTINCT conv_id FROM conversations) every
   LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM every.conv_id
 """
 
+_SEARCH = r"""
+WITH doc_terms AS (
+  SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents WHERE text IS NOT NULL
+), held AS (
+  SELECT doc, doc_id, terms, len(terms)::BIGINT AS n FROM doc_terms WHERE len(terms) > 0
+), whole AS (
+  SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS size FROM held
+), counts AS (
+  SELECT doc, term, count(*)::BIGINT AS tf FROM (SELECT doc, unnest(terms) AS term FROM held) GROUP BY doc, term
+), items AS (
+  SELECT row_number() OVER () AS item, item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), asked AS (
+  SELECT item, item_id, term, count(*)::BIGINT AS times FROM items GROUP BY item, item_id, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM counts, whole GROUP BY term, docs
+), scores AS (
+  SELECT item, item_id, doc, doc_id,
+    sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // size))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN held USING (doc), whole
+  GROUP BY item, item_id, doc, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 ORACLES = {
     "op3_benchmark_leaks": _LEAKS,
     "op4_line_dedup": _LINES,
     "op6_chat_format": _CHAT,
     "op7_source_mix": _MIX,
     "op11_conversation_repair": _REPAIR,
+    "op12_lexical_search": _SEARCH,
 }

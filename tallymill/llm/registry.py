@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from tallymill.llm import chat, decontamination, embedding_dedup, html_text, jaccard, language, line_dedup, mixing, personal_data, repair, substring_dedup, token_counts
+from tallymill.llm import chat, decontamination, embedding_dedup, html_text, jaccard, language, lexical_search, line_dedup, mixing, personal_data, repair, substring_dedup, token_counts
 from tallymill.llm.oracles import ORACLES  # noqa: F401
 from tallymill.llm.tables import load
 from tallymill.llm.text import word_array
@@ -103,6 +103,11 @@ def op11_conversation_repair(spark, sf):
     return repair.repaired(load(spark, sf, "conversations").select("conv_id", "turn", "role", "text"))
 
 
+def op12_lexical_search(spark, sf):
+    index = lexical_search.build_index(load(spark, sf, "documents").select("doc_id", "text"))
+    return lexical_search.search(index, load(spark, sf, "benchmark").select("item_id", "text"))
+
+
 def op13_token_counts(spark, sf):
     documents = load(spark, sf, "documents").select("doc_id", "text")
     counted = token_counts.token_counts(documents, public_tokenizers.path("word_bpe_49k.json"))
@@ -121,5 +126,6 @@ QUERIES = {
     "op9_main_text": op9_main_text,
     "op10_language": op10_language,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_lexical_search": op12_lexical_search,
     "op13_token_counts": op13_token_counts,
 }
