@@ -39,7 +39,7 @@ class Shared:
         return self.lengths
 
 
-class Lengths(dict):
+class Lengths:
     """Numbers of tokens of pre-tokens: frequent ones stay, others are kept until the table is full.
 
     A pre-token is a run of bytes without ASCII white space. The tokenizer drops white space, and no token, special
@@ -53,7 +53,7 @@ class Lengths(dict):
         self.tokenizer.no_padding()
         self.frequent = dict(zip(words, sizes.tolist(), strict=True))
         self.most = len(words) + remembered
-        super().__init__(self.frequent)
+        self.known = dict(self.frequent)
 
     def encoded(self, words: list[bytes]) -> list[int]:
         found = self.tokenizer.encode_batch([word.decode("utf-8", "replace") for word in words], add_special_tokens=False)
@@ -61,22 +61,23 @@ class Lengths(dict):
 
     def of(self, text: bytes) -> int:
         """Tokens of a text; what is not known yet is encoded once."""
-        words = text.split()
-        unseen = list(set(words).difference(self))
+        words, known = text.split(), self.known
+        # Set difference looks its own elements up in a plain dictionary only; it walks through any other mapping.
+        unseen = list(set(words).difference(known))
         long = {}
         if unseen:
             found = dict(zip(unseen, self.encoded(unseen), strict=True))
             long = {word: size for word, size in found.items() if len(word) > MOST_BYTES}
-            if len(self) + len(found) - len(long) > self.most:
-                self.clear()
-                self.update(self.frequent)
+            if len(known) + len(found) - len(long) > self.most:
+                known.clear()
+                known.update(self.frequent)
                 # Words of this text may have been forgotten just now.
-                gone = list(set(words).difference(self, found))
+                gone = list(set(words).difference(known).difference(found))
                 found.update(zip(gone, self.encoded(gone), strict=True))
-            self.update(found)
-        total = sum(map(self.__getitem__, words))
+            known.update(found)
+        total = sum(map(known.__getitem__, words))
         for word in long:
-            del self[word]
+            del known[word]
         return total
 
 
