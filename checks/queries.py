@@ -16,16 +16,14 @@ from pyspark.sql import functions as F
 from tallymill.functions import ids, metrics
 from tallymill.functions.text import stringify_array
 from tallymill.operators import caching, ranking, sampling, sets
-from tallymill.plans import recommender, reports, runs, sampler, stand_ins, tuning
+from tallymill.plans import audit, recommender, reports, runs, sampler, stand_ins, tuning
 from tallymill.session import working_path
 from tallymill.sources import readers, writers
 
 KEYS = ["userId", "movieId"]
 TOLERANCE = 1e-4
 
-# A small model stands for any other: the checks are about what is done with it.
-_SMALL = {"max_iter": 5, "rank": 5, "regParam": 0.1, "blocks": 4}
-_models: dict[tuple[str, str, str], ALSModel] = {}
+_models: dict[tuple[str, str, str], str] = {}
 
 
 def _base(spark: SparkSession, sf: str) -> DataFrame:
@@ -42,14 +40,16 @@ def _labelled(frame: DataFrame) -> DataFrame:
 
 
 def _model(spark: SparkSession, sf: str, rows: str) -> ALSModel:
-    """Model of all planted ratings, or of their train rows; fitted once per session."""
+    """Default model of all planted ratings, or of their train rows; fitted and stored once per session."""
     key = (spark.sparkContext.applicationId, sf, rows)
     if key not in _models:
         ratings = stand_ins.planted_ratings(spark, sf)
         if rows == "train":
             ratings = _labelled(ratings).where(F.col("split") == "train").drop("split")
-        _models[key] = recommender.fit(recommender.make_als(**_SMALL), ratings)
-    return _models[key]
+        path = working_path(spark, "shared-model")
+        recommender.fit(recommender.make_als(), ratings).write().save(path)
+        _models[key] = path
+    return ALSModel.load(_models[key])
 
 
 def _written(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
@@ -473,29 +473,16 @@ def unrated_recommendation_user(spark, sf):
     ).withColumn("still_rated", still_rated.agg(F.count("*")).scalar())
 
 
-def _place():
-    return F.row_number().over(Window.partitionBy("userId").orderBy(F.desc("rating"), "movieId"))
-
-
-def _unrated_by_model(model, ratings):
-    """The library's scores of all unrated items, best first: an independent way to the same lists."""
-    nested = model.recommendForAllUsers(model.itemFactors.count())
-    flat = ranking.flatten_nested(nested, "userId", "movieId", "rating")
-    unrated = flat.join(ratings.select(*KEYS), KEYS, "left_anti").withColumn("place", _place())
-    best = unrated.where(F.col("place") <= recommender.TOP_K)
-    return best.select("userId", "place", F.col("rating").alias("other"))
-
-
 def paths_agree(spark, sf):
-    """Unrated items from the shared table and by direct scoring agree, for as many places as the table has."""
+    """What the shared table leaves to a user without the rated items are the best of all unrated ones, for as many
+    places as it has: no unrated item scores higher and is missing, none is rated, and scores are the model's."""
     ratings = _written(spark, stand_ins.planted_ratings(spark, sf), "planted")
     model = _model(spark, sf, "all")
     shared = _published(spark, recommender.recommend_all(model))
-    left = sets.exclude_keys(shared, ratings, KEYS).withColumn("place", _place())
-    second = left.select("userId", "place", F.col("rating").alias("b"))
-    found = second.join(_unrated_by_model(model, ratings), ["userId", "place"], "left").groupBy("userId").agg(
-        F.count_if(F.coalesce(F.abs(F.col("other") - F.col("b")) > TOLERANCE, F.lit(True))).alias("different")
-    )
+    left = _written(spark, sets.exclude_keys(shared, ratings, KEYS), "left")
+    audited = audit.audited(model, left, excluded=ratings)
+    faults = F.col("repeated") + F.col("excluded") + F.col("wrong") + F.col("left_out")
+    found = audited.select("userId", faults.alias("different"))
     users = ratings.select("userId").distinct()
     return users.join(found, "userId", "left").select("userId", F.coalesce("different", F.lit(0)).cast("long").alias("different"))
 
@@ -513,21 +500,22 @@ def top_n_for_user(spark, sf):
     )
 
 
-def _unrated_figures(recommended, ratings, model):
-    """Per user: items, how many are rated after all, and places where the score is not the independent one."""
-    rated = ratings.select(*KEYS, F.lit(1).alias("rated"))
-    own = recommended.withColumn("place", _place()).join(rated, KEYS, "left")
-    return own.join(_unrated_by_model(model, ratings), ["userId", "place"], "left").groupBy("userId").agg(
-        F.count("*").alias("items"),
-        F.count("rated").alias("still_rated"),
-        F.count_if(F.coalesce(F.abs(F.col("rating") - F.col("other")) > TOLERANCE, F.lit(True))).alias("different"),
+def _unrated_figures(spark, recommended, ratings, model, users=None):
+    """Per user: items, how many are rated after all, and how many have wrong scores, come twice, or are missing."""
+    lists = _written(spark, recommended, "unrated")
+    # Who has rated everything has no list, and nothing is missing in it.
+    return audit.audited(model, lists, recommender.TOP_K, ratings, users).where("items + left_out > 0").select(
+        "userId",
+        "items",
+        F.col("excluded").alias("still_rated"),
+        (F.col("wrong") + F.col("repeated") + F.col("left_out")).alias("different"),
     )
 
 
 def recommend_unrated_all(spark, sf):
     ratings = _written(spark, stand_ins.planted_ratings(spark, sf), "planted")
     model = _model(spark, sf, "all")
-    return _unrated_figures(recommender.recommend_unrated(model, ratings), ratings, model)
+    return _unrated_figures(spark, recommender.recommend_unrated(model, ratings), ratings, model)
 
 
 def recommend_user_subset(spark, sf):
@@ -536,7 +524,7 @@ def recommend_user_subset(spark, sf):
     members = stand_ins.table(spark, sf, "customer").where(F.col("c_mktsegment") == "BUILDING")
     users = members.select(F.col("c_custkey").cast("int").alias("userId"))
     model = _model(spark, sf, "all")
-    return _unrated_figures(recommender.recommend_unrated(model, ratings, users=users), ratings, model)
+    return _unrated_figures(spark, recommender.recommend_unrated(model, ratings, users=users), ratings, model, users)
 
 
 def holdout_grid_metrics(spark, sf):
@@ -558,13 +546,13 @@ def _pipeline(mode):
         inputs = {"ratings": stand_ins.planted_ratings(spark, sf).withColumn("ts", F.lit(0).cast("long")), "movies": stand_ins.movies(spark, sf)}
         for name, frame in inputs.items():
             writers.write_table(frame, f"{root}/{name}", "csv", header=True)
-        run = runs.run_recommender(spark, mode, f"{root}/ratings", f"{root}/movies", f"{root}/out", blocks=2, parallelism=8)
+        run = runs.run_recommender(spark, mode, f"{root}/ratings", f"{root}/movies", f"{root}/out", blocks=2, parallelism=8, audited=True)
         ratings = readers.read_ratings(spark, f"{root}/ratings")
         models = {"model": ALSModel.load(f"{root}/out/model")}
         if mode == runs.CROSS_VALIDATED:
             models["cv-model"] = CrossValidatorModel.load(f"{root}/out/cv-model").bestModel
         figures = [
-            _unrated_figures(run.unrated, ratings, run.model).agg(F.sum("still_rated") + F.sum("different")).scalar().alias("wrong_unrated"),
+            run.audit.agg(F.sum(F.col("repeated") + F.col("excluded") + F.col("wrong") + F.col("left_out")).cast("long")).scalar().alias("wrong_unrated"),
             run.recommendations.select("userId").distinct().agg(F.count("*")).scalar().alias("users"),
             run.recommendations.agg(F.count("*")).scalar().alias("recommended"),
         ]

@@ -42,6 +42,7 @@ def parser() -> argparse.ArgumentParser:
     movies.add_argument("--folds", type=int, default=tuning.FOLDS)
     movies.add_argument("--csv-mode", default="PERMISSIVE", help="PERMISSIVE, DROPMALFORMED or FAILFAST")
     movies.add_argument("--parallelism", type=int, help="fits that run side by side")
+    movies.add_argument("--audit", action="store_true", help="check the published tables and write the faults")
     return root
 
 
@@ -74,9 +75,12 @@ def main(argv: list[str] | None = None) -> None:
             folds=args.folds,
             parallelism=args.parallelism,
             csv_mode=args.csv_mode,
+            audited=args.audit,
         )
         print(f"best parameters: {tuning.describe(run.best)}")
         run.metrics.show(100, truncate=False)
+        if run.audit is not None:
+            run.audit.show(truncate=False)
         if args.user is not None:
             print(f"unrated movies of user {args.user}, scored by the model")
             run.predicted.show(20, truncate=False)

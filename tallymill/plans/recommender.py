@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from tallymill.functions.hashing import hash_bucket
 from tallymill.operators.ranking import first_per_group, rank_by
 from tallymill.operators.sets import exclude_keys, inner_lookup
-from tallymill.session import ensure_checkpoint_dir, working_path
+from tallymill.session import ensure_checkpoint_dir
 
 # Defaults of the recommender.
 MAX_ITER = 20
@@ -27,8 +26,9 @@ USER, ITEM, RATING = "userId", "movieId", "rating"
 # Blocks of a fit. They take part in its start values, so the number follows neither data nor cluster.
 BLOCKS = 10
 
-# Item factors are scored in blocks of about so many numbers, each broadcast on its own.
+# Item factors are dealt in blocks of about so many numbers, users in portions of at most about so many.
 BLOCK_VALUES = 4_000_000
+PORTION_USERS = 1 << 17
 _SCORES_AT_ONCE = 4_000_000
 
 
@@ -66,11 +66,11 @@ def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
 def recommend_all(model: ALSModel, k: int = TOP_K, block_items: int | None = None) -> DataFrame:
     """The ``k`` best items of every user as flat ``(userId, movieId, rating)`` rows, clustered by user.
 
-    The lower item wins among equal scores. Users are spread by range before they are scored, so that no score
-    is shuffled as long as the items are one block.
+    The lower item wins among equal scores. Users are dealt by range, so no score is shuffled as long as the items
+    are one block, and the tasks hold ranges of users.
     """
-    wanted = model.userFactors.select("id", "features", F.lit(k).alias("wanted"))
-    scored, blocks = _scored(model, wanted.repartitionByRange(_scoring_tasks(model), "id"), block_items)
+    wanted = model.userFactors.select("id", "features", F.lit(k).cast("double").alias("aim"))
+    scored, blocks = scored_by_block(model, wanted, _best_items, block_items)
     return scored if blocks == 1 else first_per_group(scored, [USER], [F.desc(RATING), F.asc(ITEM)], k)
 
 
@@ -93,12 +93,9 @@ def recommend_unrated(
     wanted = factors.join(counts, USER, "left").select(
         F.col(USER).alias("id"),
         "features",
-        (F.coalesce("rated", F.lit(0)) + k).alias("wanted"),
+        (F.coalesce("rated", F.lit(0)) + k).cast("double").alias("aim"),
     )
-    # Adaptive execution sizes partitions by bytes, but scoring costs far more than its input.
-    # A fixed count is not merged; a key other than the join's keeps this shuffle from being
-    # taken for a repetition of the join's and dropped.
-    scored, _ = _scored(model, wanted.repartition(_scoring_tasks(model), F.xxhash64("id")), block_items)
+    scored, _ = scored_by_block(model, wanted, _best_items, block_items)
     unrated = exclude_keys(scored, ratings, [USER, ITEM])
     return first_per_group(unrated, [USER], [F.desc(RATING), F.asc(ITEM)], k)
 
@@ -172,65 +169,81 @@ def publish(recommendations: DataFrame, path: str, mode: str = "errorifexists")
     recommendations.sortWithinPartitions(USER, F.desc(RATING), ITEM).write.mode(mode).parquet(path)
 
 
-def _scoring_tasks(model: ALSModel) -> int:
-    cores = model.userFactors.sparkSession.sparkContext.defaultParallelism
-    return max(cores, model.userFactors.rdd.getNumPartitions())
+# Of some users (ids, aims, factors) and a block of items (ids, factors): users, items and scores.
+Scorer = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], Iterator[tuple]]
 
 
-def _scored(model: ALSModel, wanted: DataFrame, block_items: int | None) -> tuple[DataFrame, int]:
-    """The ``wanted`` best items of each block for every row ``(id, features, wanted)``, and the number of blocks.
+def _item_blocks(model: ALSModel, blocks: int) -> DataFrame:
+    """``(block, ids, features)``: the factors of each block in one row, in ascending order of the items.
 
-    Items are dealt to blocks of about ``block_items`` by a hash of the id. One block at a time is
-    collected and broadcast, so what the driver and the tasks hold does not grow with the model.
+    Items are dealt to blocks by a hash of the id, so a row is bounded by the size of a block.
     """
-    size = block_items or max(1, BLOCK_VALUES // model.rank)
-    blocks = max(1, -(-model.itemFactors.count() // size))
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks))
-    if blocks > 1:
-        # Every block reads the users again.
-        wanted = _kept(wanted)
-    parts = [
-        _score_users(wanted, model.itemFactors.where(block == number).orderBy("id").toArrow(), model.rank)
-        for number in range(blocks)
-    ]
-    return reduce(DataFrame.unionAll, parts), blocks
-
-
-def _kept(frame: DataFrame) -> DataFrame:
-    path = working_path(frame.sparkSession, "users")
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    entries = F.array_sort(F.collect_list(F.struct("id", "features")))
+    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    return (
+        model.itemFactors.groupBy(block.alias("block"))
+        .agg(entries.alias("entries"))
+        .select("block", F.col("entries.id").alias("ids"), F.flatten("entries.features").alias("features"))
+    )
 
 
-def _score_users(wanted: DataFrame, items: pa.Table, rank: int) -> DataFrame:
-    """The ``wanted`` best items of every row ``(id, features, wanted)``; ``items`` are in ascending order."""
-    table = items.combine_chunks()
-    flat = pa.concat_arrays(table["features"].chunks).flatten().to_numpy() if len(table) else np.empty(0, np.float32)
-    shared = wanted.sparkSession.sparkContext.broadcast((table["id"].to_numpy(), flat.reshape(len(table), rank)))
+def scored_by_block(
+    model: ALSModel, users: DataFrame, scorer: Scorer, block_items: int | None = None
+) -> tuple[DataFrame, int]:
+    """Rows ``(userId, movieId, rating)`` that ``scorer`` makes of every user and block of items, and the number of blocks.
 
-    def best_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, factors = shared.value
-        step = max(1, _SCORES_AT_ONCE // max(1, len(ids)))
+    ``users`` are ``(id, features, aim)``. They are cut into portions by ranges of the id; every portion meets every block
+    of about ``block_items`` items in a task that gets one row with the block, followed by the users. Both travel by
+    shuffles alone, and a task holds one block and one batch of users, whatever the size of the model.
+    """
+    size = block_items or max(1, BLOCK_VALUES // model.rank)
+    blocks = max(1, -(-model.itemFactors.count() // size))
+    # A block may be empty, and then has no row.
+    tasks = max(model.userFactors.sparkSession.sparkContext.defaultParallelism, model.userFactors.rdd.getNumPartitions())
+    portions = max(-(-model.userFactors.count() // PORTION_USERS), -(-tasks // blocks))
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    cell = (F.col("portion") * blocks + F.col("block")).alias("cell")
+    dealt = users.repartitionByRange(portions, "id").withColumn("portion", F.spark_partition_id())
+    dealt = dealt.withColumn("block", every(blocks)).select(cell, "id", "aim", "features", F.lit(None).cast("array<int>").alias("ids"))
+    items = _item_blocks(model, blocks).withColumn("portion", every(portions))
+    items = items.select(cell, F.lit(None).cast("int").alias("id"), F.lit(None).cast("double").alias("aim"), "features", "ids")
+    # One task for each cell. The block comes before the users.
+    together = dealt.unionByName(items).repartitionById(portions * blocks, "cell")
+    sorted_cells = together.sortWithinPartitions("cell", F.asc_nulls_first("id"))
+    return sorted_cells.mapInArrow(_meeting(scorer, model.rank), f"{USER} int, {ITEM} int, {RATING} float"), blocks
+
+
+def _meeting(scorer: Scorer, rank: int):
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, cell = (), None
         for batch in batches:
-            if not len(batch) or not len(ids):
+            heads = np.flatnonzero(batch["ids"].is_valid().to_numpy(zero_copy_only=False)).tolist()
+            for head in heads:
+                cell = batch["cell"][head].as_py()
+                factors = batch["features"][head].values.to_numpy().reshape(-1, rank)
+                held = batch["ids"][head].values.to_numpy(), factors
+            people = batch.filter(batch["id"].is_valid())
+            if not len(people) or not held:
                 continue
-            users, counts = batch["id"].to_numpy(), batch["wanted"].to_numpy()
-            own = batch["features"].flatten().to_numpy().reshape(len(batch), rank)
-            # Rows that want about as many are scored together.
-            order = np.argsort(counts, kind="stable")
-            for start in range(0, len(order), step):
-                part = order[start : start + step]
-                rows, places, values = _best(_products(own[part], factors), counts[part])
-                yield pa.record_batch(
-                    [
-                        pa.array(users[part][rows], pa.int32()),
-                        pa.array(ids[places], pa.int32()),
-                        pa.array(values, pa.float32()),
-                    ],
-                    [USER, ITEM, RATING],
-                )
-
-    return wanted.mapInArrow(best_items, f"{USER} int, {ITEM} int, {RATING} float")
+            if set(people["cell"].unique().to_pylist()) != {cell}:
+                raise AssertionError("users of another cell than that of the block")
+            own = people["features"].flatten().to_numpy().reshape(-1, rank)
+            for users, items, scores in scorer(people["id"].to_numpy(), people["aim"].to_numpy(), own, *held):
+                columns = [pa.array(users, pa.int32()), pa.array(items, pa.int32()), pa.array(scores, pa.float32())]
+                yield pa.record_batch(columns, [USER, ITEM, RATING])
+
+    return meet
+
+
+def _best_items(users: np.ndarray, aims: np.ndarray, own: np.ndarray, ids: np.ndarray, factors: np.ndarray) -> Iterator[tuple]:
+    """The ``aims`` best items of every user, the lower item first among equal scores."""
+    counts, step = aims.astype(np.int64), max(1, _SCORES_AT_ONCE // len(ids))
+    # Rows that want about as many are scored together.
+    order = np.argsort(counts, kind="stable")
+    for start in range(0, len(order), step):
+        part = order[start : start + step]
+        rows, places, values = _best(_products(own[part], factors), counts[part])
+        yield users[part][rows], ids[places], values
 
 
 def _products(users: np.ndarray, items: np.ndarray) -> np.ndarray:
