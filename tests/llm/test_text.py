@@ -2,7 +2,9 @@
 
 import random
 import re
+import time
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -112,6 +114,65 @@ def test_main_text_by_ratios_alone():
     assert text == " ".join(["A long sentence about the matter at hand."] * 24)
 
 
+@pytest.fixture(scope="module")
+def given_pages(spark):
+    return [row.html for row in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("html").collect()]
+
+
+UNMARKED = {"<article>": "<div>", "</article>": "</div>", "<nav>": "<div>", "</nav>": "</div>", "<footer>": "<div>", "</footer>": "</div>", '<div class="ad">': "<div>"}
+
+
+def renamed(html, names):
+    for name in names:
+        html = html.replace(name, UNMARKED[name])
+    return html
+
+
+def test_main_text_does_not_hang_on_the_article_element(given_pages):
+    found = [html_text.main_text(html) for html in given_pages]
+    plain = [html_text.main_text(renamed(html, ["<article>", "</article>"])) for html in given_pages]
+    assert all(found) and sum(x != y for x, y in zip(found, plain)) <= 0.02 * len(found)
+
+
+def test_main_text_of_pages_without_marks(given_pages):
+    """Menus, adverts and footers as plain blocks: nine in ten pages keep their text."""
+    expected = [html_text.main_text(html) for html in given_pages]
+    bare = [renamed(html, UNMARKED) for html in given_pages]
+    assert sum(html_text.main_text(html) == text for html, text in zip(bare, expected)) >= 0.88 * len(bare)
+
+
+def test_main_text_of_flat_pages_is_decided_by_ratios(given_pages, monkeypatch):
+    """With neither marks nor links nor an element around the article, ratios alone tell a menu from paragraphs."""
+    flat = [re.sub("</?article>|<a href=[^>]*>|</a>", "", renamed(html, list(UNMARKED)[2:])) for html in given_pages]
+    menus = [" ".join(re.findall("<li>([^<]*)</li>", html)) for html in flat]
+    holding = lambda: sum(menu in html_text.main_text(html) for menu, html in zip(menus, flat)) / len(flat)
+    assert holding() <= 0.1
+    monkeypatch.setattr(html_text, "smoothed_ratios", lambda lines: np.zeros(len(lines)))
+    assert holding() >= 0.9
+
+
+@pytest.mark.parametrize("tag", ["article", "div", "section"])
+def test_main_text_keeps_headings_and_short_items(tag):
+    sentence = "A long sentence about the matter at hand. " * 7
+    parts = [f"<h2>Part {at}</h2><p>{sentence}</p><ul><li>One</li><li>Two</li></ul>" for at in range(10)]
+    parts.insert(5, f"<p>{'Very long. ' * 2000}</p>")
+    links = "".join(f"<div><a href='/{n}'>Go {n}</a></div>" for n in range(12))
+    text = html_text.main_text(f"<body>{links}<{tag}><h1>Title</h1>{''.join(parts)}<p>End.</p></{tag}>{links}</body>")
+    blocks = [part for at in range(10) for part in (f"Part {at}", sentence.strip(), "One", "Two")]
+    blocks[20:20] = [("Very long. " * 2000).strip()]
+    assert text == " ".join(["Title", *blocks, "End."])
+
+
+@pytest.mark.parametrize(
+    "html",
+    ["<b>x</i>" * 8000, "<div class='a-menu'>" * 8000 + "x", "<b>" * 8000 + "<p>x" * 8000, "<li><a>" * 8000, "<table><tr><td>" * 5000 + "y"],
+)
+def test_main_text_takes_linear_time(html):
+    started = time.perf_counter()
+    html_text.main_text(html)
+    assert time.perf_counter() - started < 2
+
+
 @pytest.mark.parametrize("html", [None, "", "<p>", "<<<>>>", "<script>alert(1)</script>", "<nav>x</nav>", "&#xD800;<p"])
 def test_main_text_of_odd_pages(html):
     assert isinstance(html_text.main_text(html), str)
