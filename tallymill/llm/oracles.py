@@ -224,11 +224,27 @@ WITH doc_terms AS (
 SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
 """
 
+_PAGES = r"""
+-- The given pages have one article each, of these tags and character references.
+WITH marked AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS body FROM pages
+), bare AS (
+  SELECT page_id, url, regexp_replace(regexp_replace(body, '</?(p|h1|br)>', ' ', 'g'), '</?b>', '', 'g') AS t FROM marked
+), decoded AS (
+  SELECT page_id, url, regexp_replace(replace(replace(replace(t, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g') AS t
+  FROM bare
+), joined AS (
+  SELECT page_id, url, trim(regexp_replace(t, '[\s\x0B\x1C-\x1F\x{85}\p{Z}]+', ' ', 'g')) AS text FROM decoded
+)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM joined
+"""
+
 ORACLES = {
     "op3_benchmark_leaks": _LEAKS,
     "op4_line_dedup": _LINES,
     "op6_chat_format": _CHAT,
     "op7_source_mix": _MIX,
+    "op9_main_text": _PAGES,
     "op11_conversation_repair": _REPAIR,
     "op12_lexical_search": _SEARCH,
 }
