@@ -28,6 +28,8 @@ SHARD_TERMS = 1 << 21
 SHARD_DOCUMENTS = 1 << 16
 BLOCK = 128
 QUERY_BLOCK = 256
+# Shards with one block of queries that a task scores, about.
+CELLS = 2
 
 _INDEX = (
     "shard long, term binary, df long, max_tf long, min_n long, lasts binary, ends binary, tfs binary, ns binary, "
@@ -294,8 +296,8 @@ def search(index: DataFrame, queries: DataFrame, k: int = TOP_K, query_block: in
     its ``k`` best for each query; these heaps are cut again in every task before they are merged.
     """
     whole = index.where("term IS NULL")
-    sums = whole.agg(F.sum("n_docs").alias("documents"), F.sum("n_terms").alias("terms")).first()
-    documents, terms = sums["documents"] or 0, sums["terms"] or 0
+    sums = whole.agg(F.sum("n_docs").alias("documents"), F.sum("n_terms").alias("terms"), F.count("*").alias("shards")).first()
+    documents, terms, shards = sums["documents"] or 0, sums["terms"] or 0, sums["shards"]
     numbered = stored(queries.select("item_id", "text", F.monotonically_increasing_id().alias("query")), "queries")
     parts = max(1, -(-numbered.count() // query_block))
     word = F.explode(terms_of(F.col("text"))).alias("term")
@@ -348,6 +350,9 @@ def search(index: DataFrame, queries: DataFrame, k: int = TOP_K, query_block: in
                 found += [{"query": query, "doc_id": doc, "score": score} for doc, score in shard.best(own, k)]
         return pa.Table.from_pylist(found, arrow)
 
+    # Sized by work: adaptive execution would merge tasks by their few bytes.
+    tasks = max(1, -(-shards * parts // CELLS))
+    cells, postings = cells.repartition(tasks, "cell", "queries"), postings.repartition(tasks, "shard", "part")
     heaps = cells.groupBy("cell", "queries").cogroup(postings.groupBy("shard", "part")).applyInArrow(scored, schema)
     order = [F.desc("score"), F.asc_nulls_last("doc_id")]
     best = first_per_group(heaps, ["query"], order, k, "rank")
