@@ -13,7 +13,9 @@ from tallymill.llm.text import WORD
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
 
+# Words of a block, and the number of blocks that a source and its target should at least make; a smaller source has smaller blocks.
 BLOCK_WORDS = 128
+LEAST_BLOCKS = 128
 SHARD_WORDS = 1 << 16
 MOST_SHARDS = 4096
 SEED = 7
@@ -88,30 +90,41 @@ def mixed_sources(
 
     ``doc_id, source, size, source_size, target, taken``, one row for each row of ``documents``.
 
-    1. Every source gets a target (:func:`targets`) and a quota of blocks of ``block_words`` words by
-       Sainte-Laguë's method. A source is dealt into shards by a seeded hash of the document id, one for each
+    1. Every source gets a target (:func:`targets`) and a quota of equal blocks by Sainte-Laguë's method. Blocks have
+       ``block_words`` words, or as many as it takes for the smallest source or target to make ``LEAST_BLOCKS``, one at
+       least. A source is dealt into shards by a seeded hash of the document id, one for each
        ``SHARD_WORDS`` words (``MOST_SHARDS`` at most, a matter of parallelism only), and its quota is
-       apportioned among them again.
-    2. The documents of a shard, in a seeded order, are one stream that is cut into equal blocks. A quota of
+       apportioned among them again, in blocks that are as small as this source needs.
+    2. The documents of a shard, in a seeded order, are one stream that is cut into these blocks. A quota of
        several passes takes every block as often; the rest of it takes blocks that are evenly
-       spread over the stream from a seeded start.
+       spread over the stream from a seeded start. So a source misses its target by a hundredth or by a few words.
 
     A document is taken to the extent that its blocks are, at most ``MOST_PASSES`` times. Null text
     has no words; documents without words are returned with ``taken`` 0. A null source is a source. Repeated
-    rows are documents of their own. Other columns of ``documents`` than those to ``keep``, which come last, are ignored.
+    rows are documents of their own; rows with one id are told apart by their size, their text and what is kept, so that reruns
+    agree. Other columns of ``documents`` than those to ``keep``, which come last, are ignored.
     """
-    sized = stored(
-        documents.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), *keep),
-        "sizes",
-    )
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    sized = stored(documents.select("doc_id", "source", size.alias("size"), digest.alias("digest"), *keep), "sizes")
     aims = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights), "targets")
-    seats = F.round(F.sum(F.col("source_size").cast("double")).over(Window.partitionBy("all")) / block_words).cast("long")
-    quotas = apportioned(
-        aims.withColumn("all", F.lit(0)).withColumn("seats", seats), ["all"], "rank", "target", "seats"
-    ).select("rank", F.col("quota").alias("source_quota"))
-    aims = aims.join(quotas, "rank", "left").fillna(0, ["source_quota"])
+    whole = Window.partitionBy("all")
+    least = F.least(F.col("source_size").cast("double"), "target")
+    fitting = lambda words: F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(words / LEAST_BLOCKS))).cast("long")
+    aims = (
+        aims.withColumn("all", F.lit(0))
+        .withColumn("unit", fitting(F.coalesce(F.min(F.when(F.col("source_size") > 0, least)).over(whole), F.lit(0))))
+        .withColumn("block", fitting(least))
+        .withColumn("seats", F.round(F.sum(F.col("source_size").cast("double")).over(whole) / F.col("unit")).cast("long"))
+    )
+    quotas = apportioned(aims, ["all"], "rank", "target", "seats").select("rank", F.col("quota").alias("units"))
+    aims = aims.join(quotas, "rank", "left").withColumn(
+        "source_quota", F.round(F.coalesce("units", F.lit(0)) * F.col("unit") / F.col("block")).cast("long")
+    )
     shards = F.greatest(F.lit(1), F.least(F.lit(MOST_SHARDS), F.ceil(F.col("source_size") / SHARD_WORDS))).cast("long")
-    aims = stored(aims.withColumn("shards", shards), "quotas")
+    aims = stored(
+        aims.withColumn("shards", shards).select("source", "source_size", "rank", "target", "block", "source_quota", "shards"), "quotas"
+    )
 
     order = digest_number(key_digest(seed, "doc_id"))
     dealt = (
@@ -121,11 +134,11 @@ def mixed_sources(
         .withColumn("shard", F.pmod("order", "shards"))
     )
     cells = dealt.groupBy("rank", "shard").agg(
-        F.sum("size").alias("cell_size"), F.first("source_quota").alias("source_quota")
+        F.sum("size").alias("cell_size"), F.first("source_quota").alias("source_quota"), F.first("block").alias("block")
     )
     cells = stored(cells, "cells")
     cell_quotas = apportioned(cells, ["rank"], "shard", "cell_size", "source_quota")
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("cell_size") / block_words)).cast("long")
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("cell_size") / F.col("block"))).cast("long")
     cells = (
         cells.drop("source_quota")
         .join(cell_quotas, ["rank", "shard"], "left")
@@ -137,25 +150,24 @@ def mixed_sources(
         .select("rank", "shard", "blocks", "passes", "extra", "start")
     )
 
-    stream = Window.partitionBy("rank", "shard").orderBy("order", "doc_id", "size")
+    stream = Window.partitionBy("rank", "shard").orderBy("order", "doc_id", "size", "digest", *[f"d.{name}" for name in keep])
     stop = F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, 0))
-    chosen = lambda block: F.expr(
-        f"(({block} + start) * extra) div blocks - (start * extra) div blocks"
+    chosen = lambda at: F.expr(
+        f"(({at} + start) * extra) div blocks - (start * extra) div blocks"
     )
-    is_chosen = lambda block: chosen(f"({block} + 1)") - chosen(block)
-    last = F.expr(f"(stop - 1) div {block_words}")
-    ends = is_chosen("first") * ((F.col("first") + 1) * block_words - F.col("begin")) + is_chosen("last") * (
-        F.col("stop") - F.col("last") * block_words
+    is_chosen = lambda at: chosen(f"({at} + 1)") - chosen(at)
+    ends = is_chosen("first") * ((F.col("first") + 1) * F.col("block") - F.col("begin")) + is_chosen("last") * (
+        F.col("stop") - F.col("last") * F.col("block")
     )
-    within = block_words * (chosen("last") - chosen("(first + 1)"))
+    within = F.col("block") * (chosen("last") - chosen("(first + 1)"))
     part = F.when(F.col("size") == 0, 0).when(
         F.col("first") == F.col("last"), is_chosen("first") * F.col("size")
     ).otherwise(ends + within)
     return (
         dealt.withColumn("stop", stop)
         .withColumn("begin", F.col("stop") - F.col("size"))
-        .withColumn("first", F.expr(f"begin div {block_words}"))
-        .withColumn("last", last)
+        .withColumn("first", F.expr("begin div block"))
+        .withColumn("last", F.expr("(stop - 1) div block"))
         .join(cells, ["rank", "shard"])
         .select(
             "doc_id",

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from tallymill.llm.mixing import BLOCK_WORDS, MOST_PASSES, MOST_SHARDS, SEED, SHARD_WORDS
-
 _LEAKS = r"""
 WITH doc_words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -61,57 +59,69 @@ FROM sized GROUP BY conv_id
 """
 
 # The apportionment as it is defined: all quotients of all seats are ranked.
-_MIX = rf"""
+# Taken words follow from the choice of blocks that mixing.py documents: its numbers are stated again here.
+_MIX = r"""
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-    coalesce(('0x' || substr(md5('{SEED}-' || doc_id), 1, 8))::BIGINT, -1) AS o
+    md5(coalesce(text, '')) AS digest, coalesce(('0x' || substr(md5('7-' || doc_id), 1, 8))::BIGINT, -1) AS o
   FROM documents
 ), totals AS (
-  SELECT *, [5.0, 2.0, 1.0][(rank - 1) % 3 + 1]::DOUBLE AS weight, source_size::DOUBLE * {MOST_PASSES} AS cap
+  SELECT source, source_size, rank, [5.0, 2.0, 1.0][(rank - 1) % 3 + 1]::DOUBLE AS weight, 3.0 * source_size AS cap
   FROM (SELECT source, source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank
         FROM (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source))
-), leveled AS (
-  SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER b, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0)) AS level
-  FROM totals WINDOW b AS (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), rounds AS (
+  -- What a source would get above its cap is shared again by weight among the others, until none is above.
+  SELECT 0 AS round, rank, weight, cap, false AS full_, weight * ((SELECT sum(source_size) FROM totals) / sum(weight) OVER ()) AS target
+  FROM totals
+  UNION ALL
+  SELECT round + 1, rank, weight, cap, full_ OR target > cap,
+    CASE WHEN full_ OR target > cap THEN cap ELSE
+      weight * (((SELECT sum(source_size) FROM totals) - coalesce(sum(cap) FILTER (full_ OR target > cap) OVER (), 0))
+        / sum(weight) FILTER (NOT full_ AND target <= cap) OVER ()) END
+  FROM (SELECT *, count_if(target > cap) OVER () AS above FROM rounds) WHERE above > 0
 ), aims AS (
-  SELECT source, source_size, rank,
-    least(weight * max(level) FILTER (weight * level <= cap) OVER (), cap) AS target
-  FROM leveled
-), seats AS (SELECT *, round(sum(source_size) OVER () / {BLOCK_WORDS})::BIGINT AS seats FROM aims),
+  SELECT source, source_size, rank, target FROM totals JOIN
+    (SELECT rank, target FROM rounds QUALIFY row_number() OVER (PARTITION BY rank ORDER BY round DESC) = 1) USING (rank)
+), blocked AS (
+  SELECT *, greatest(1, least(128, floor(least(source_size, target) / 128)))::BIGINT AS block,
+    greatest(1, least(128, floor(coalesce(min(least(source_size, target)) FILTER (source_size > 0) OVER (), 0) / 128)))::BIGINT AS unit
+  FROM aims
+), seats AS (SELECT *, round(sum(source_size) OVER () / unit)::BIGINT AS seats FROM blocked),
 source_ranked AS (
   SELECT rank, seats, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, target DESC, rank, k) AS place
-  FROM (SELECT *, unnest(range(0, (target / {BLOCK_WORDS})::BIGINT + 64)) AS k FROM seats WHERE target > 0)
-), source_quota AS (SELECT rank, count(*) FILTER (place <= seats) AS source_quota FROM source_ranked GROUP BY rank),
+  FROM (SELECT *, unnest(range(0, (target / unit)::BIGINT + 64)) AS k FROM seats WHERE target > 0)
+), source_quota AS (SELECT rank, count(*) FILTER (place <= seats) AS units FROM source_ranked GROUP BY rank),
 planned AS (
-  SELECT a.*, coalesce(source_quota, 0) AS source_quota,
-    greatest(1, least({MOST_SHARDS}, ceil(source_size / {SHARD_WORDS})))::BIGINT AS shards
-  FROM aims a LEFT JOIN source_quota USING (rank)
+  SELECT a.*, round(coalesce(units, 0) * unit / block)::BIGINT AS source_quota,
+    greatest(1, least(4096, ceil(source_size / 65536)))::BIGINT AS shards
+  FROM blocked a LEFT JOIN source_quota USING (rank)
 ), dealt AS (
-  SELECT d.*, rank, source_size, target, source_quota, ((o % shards) + shards) % shards AS shard
+  SELECT d.*, rank, source_size, target, source_quota, block, ((o % shards) + shards) % shards AS shard
   FROM sized d JOIN planned p ON d.source IS NOT DISTINCT FROM p.source
 ), cells AS (
-  SELECT rank, shard, sum(size)::BIGINT AS cell_size, first(source_quota) AS source_quota FROM dealt GROUP BY rank, shard
+  SELECT rank, shard, sum(size)::BIGINT AS cell_size, first(source_quota) AS source_quota, first(block) AS block
+  FROM dealt GROUP BY rank, shard
 ), cell_ranked AS (
   SELECT rank, shard, source_quota,
     row_number() OVER (PARTITION BY rank ORDER BY cell_size / (2 * k + 1) DESC, cell_size DESC, shard, k) AS place
-  FROM (SELECT *, unnest(range(0, {MOST_PASSES} * cell_size // {BLOCK_WORDS} + 64)) AS k FROM cells WHERE cell_size > 0)
+  FROM (SELECT *, unnest(range(0, 3 * cell_size // block + 64)) AS k FROM cells WHERE cell_size > 0)
 ), cell_quota AS (SELECT rank, shard, count(*) FILTER (place <= source_quota) AS quota FROM cell_ranked GROUP BY rank, shard),
 plan AS (
-  SELECT *, quota // blocks AS passes, quota % blocks AS extra, ('0x' || substr(md5('{SEED}-' || rank || '-' || shard), 1, 8))::BIGINT % blocks AS start
-  FROM (SELECT rank, shard, blocks, least(coalesce(quota, 0), {MOST_PASSES} * blocks) AS quota
-        FROM (SELECT c.rank, c.shard, quota, greatest(1, ceil(cell_size / {BLOCK_WORDS}))::BIGINT AS blocks
+  SELECT *, quota // blocks AS passes, quota % blocks AS extra, ('0x' || substr(md5('7-' || rank || '-' || shard), 1, 8))::BIGINT % blocks AS start
+  FROM (SELECT rank, shard, blocks, least(coalesce(quota, 0), 3 * blocks) AS quota
+        FROM (SELECT c.rank, c.shard, quota, greatest(1, ceil(cell_size / block))::BIGINT AS blocks
               FROM cells c LEFT JOIN cell_quota q ON c.rank = q.rank AND c.shard = q.shard))
 ), spans AS (
-  SELECT *, sum(size) OVER (PARTITION BY rank, shard ORDER BY o, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) AS stop FROM dealt
+  SELECT *, sum(size) OVER (PARTITION BY rank, shard ORDER BY o, doc_id NULLS FIRST, size, digest ROWS UNBOUNDED PRECEDING) AS stop FROM dealt
 ), parts AS (
-  SELECT s.doc_id, s.source, s.size, s.o, source_size, target, passes, blocks, extra, start, stop,
-    unnest(CASE WHEN size = 0 THEN [NULL] ELSE range(((stop - size) // {BLOCK_WORDS})::BIGINT, ((stop - 1) // {BLOCK_WORDS})::BIGINT + 1) END) AS b
+  SELECT s.doc_id, s.source, s.size, s.o, source_size, target, passes, blocks, extra, start, stop, block,
+    unnest(CASE WHEN size = 0 THEN [NULL] ELSE range(((stop - size) // block)::BIGINT, ((stop - 1) // block)::BIGINT + 1) END) AS b
   FROM spans s JOIN plan USING (rank, shard)
 )
 SELECT doc_id, size, source_size, target,
   (any_value(passes) * size + coalesce(sum(
     (((b + 1 + start) * extra) // blocks - ((b + start) * extra) // blocks)
-    * (least(stop, (b + 1) * {BLOCK_WORDS}) - greatest(stop - size, b * {BLOCK_WORDS}))), 0))::BIGINT AS taken
+    * (least(stop, (b + 1) * block) - greatest(stop - size, b * block))), 0))::BIGINT AS taken
 FROM parts GROUP BY doc_id, size, source_size, target, stop
 """
 

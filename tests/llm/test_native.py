@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from tallymill.llm import chat, decontamination, line_dedup, mixing
+from tallymill.llm import chat, decontamination, line_dedup, mixing, registry
 from tests.conftest import SMALL, plan_of
 from tests.llm import brute
 
@@ -186,8 +186,42 @@ def test_mixture_meets_its_targets(spark):
     assert mixing.mixed_sources(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("size", [1, 50, 130, 2000, 9000, 30_000])
+@pytest.mark.parametrize("rank", [0, 1, 2])
+def test_small_sources_come_near_their_targets(spark, size, rank):
+    """A source of a few words beside large ones, with the highest, the middle and the lowest weight."""
+    names = ["a", "b", "c"]
+    draw, rows, key = random.Random(size), [], 0
+    for at, name in enumerate(names):
+        left = size if at == rank else 40_000
+        while left:
+            words = min(left, draw.choice([1, 3, 40, 700]))
+            rows.append((key, "w " * words, name, 0))
+            left, key = left - words, key + 1
+    found = mixing.mixed_sources(frame(spark, rows)).collect()
+    taken, target = Counter(), {}
+    for row in found:
+        assert 0 <= row.taken <= 3 * row["size"]
+        taken[row.source] += row.taken
+        target[row.source] = row.target
+    assert target == pytest.approx(brute.shared_targets({name: size if at == rank else 40_000 for at, name in enumerate(names)}))
+    for name in names:
+        assert abs(taken[name] - target[name]) <= max(3, 0.015 * target[name])
+
+
+def test_rows_with_one_id_are_taken_alike_again(spark):
+    rows = [(key % 5, f"{key} " * 30, "a", at) for key in range(300) for at in range(2)] + [(1, "x " * 400, "b", 0)]
+    found = [
+        Counter(map(tuple, mixing.mixed_sources(frame(spark, rows).repartition(parts), keep=("text", "n_lines")).collect()))
+        for parts in (1, 7)
+    ]
+    assert found[0] == found[1]
+
+
 def test_native_operators_use_no_python(spark):
     documents = spark.read.parquet(f"{SMALL}/documents.parquet")
     items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
-    for found in (decontamination.leaks(documents, items), line_dedup.line_deduplicated(documents), mixing.mixed_sources(documents)):
-        assert "Python" not in plan_of(found) and "Arrow" not in plan_of(found)
+    operators = (decontamination.leaks(documents, items), line_dedup.line_deduplicated(documents), mixing.mixed_sources(documents))
+    for found in (*operators, registry.QUERIES["op6_chat_format"](spark, SMALL)):
+        plan = plan_of(found)
+        assert "Python" not in plan and "Arrow" not in plan and "ExistingRDD" not in plan
