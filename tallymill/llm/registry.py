@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tallymill.llm import chat, decontamination, embedding_dedup, html_text, jaccard, language, lexical_search, line_dedup, mixing, personal_data, repair, substring_dedup, token_counts
@@ -51,9 +50,11 @@ def op5_jaccard_join(spark, sf):
 
 
 def op6_chat_format(spark, sf):
-    planted = spark.createDataFrame(
-        [Row(conv_id=PLANTED_ID, turn=turn, role=role, text=PLANTED_TEXT) for turn, role in enumerate(("user", "assistant"))],
-        "conv_id long, turn long, role string, text string",
+    planted = spark.range(2).select(
+        F.lit(PLANTED_ID).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(PLANTED_TEXT).alias("text"),
     )
     rows = load(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
     text = F.col("formatted")
