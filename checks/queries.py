@@ -450,10 +450,11 @@ def published_recommendations(spark, sf):
 
 
 def recommend_block_sizes(spark, sf):
-    """Rows that differ between blocks of about 70 items and a single block."""
+    """Rows that differ between seven blocks of items and a single one."""
     model = _model(spark, sf, "all")
+    seventh = -(-model.itemFactors.count() // 7)
     one = recommender.recommend_all(model).withColumn("one", F.lit(1))
-    other = recommender.recommend_all(model, block_items=70).withColumn("other", F.lit(1))
+    other = recommender.recommend_all(model, block_items=seventh).withColumn("other", F.lit(1))
     return one.join(other, ["userId", "movieId", "rating"], "full").groupBy("userId").agg(
         F.count("one").alias("items"), F.count_if(F.col("one").isNull() | F.col("other").isNull()).alias("different")
     )
