@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.hnsw import Graph, unit
+from tallymill.llm.hnsw import Forest, Graph, unit
 from tallymill.llm.tables import components, stored
 
 COSINE = 0.9
@@ -24,8 +24,6 @@ AUDIT_VALUES = 1 << 19
 OF_LARGE = 128
 # Vectors with more links than this, and than half of the most links of any, are in large groups.
 LARGE = 16
-# Audited vectors that a task searches for at once.
-AUDIT_ROWS = 64
 BEAM = 48
 
 
@@ -59,29 +57,45 @@ def _matrix(table: pa.Table, dim: int) -> np.ndarray:
 
 
 def _built(table: pa.Table) -> pa.Table:
-    """The graph of one shard as bytes, with the ids and numbers of copies of its nodes."""
+    """The graph of one shard as bytes, with the ids in ascending order and numbers of copies of its nodes."""
+    table = table.sort_by("rep")
     dim, shard = table["dim"][0].as_py(), table["shard"][0].as_py()
     graph = Graph.build(_matrix(table, dim), seed=shard)
     data = graph.to_bytes(rep=table["rep"].to_numpy(), copies=table["copies"].to_numpy())
     return pa.table({"dim": pa.array([dim], pa.int32()), "shard": pa.array([shard], pa.int64()), "graph": pa.array([data], pa.binary())})
 
 
-def _forest(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A link from every node to the smallest one that it is connected with, by the given links."""
-    nodes, places = np.unique(np.concatenate([left, right]), return_inverse=True)
-    a, b = places[: len(left)], places[len(left) :]
-    label = np.arange(len(nodes))
-    while True:
-        low = np.minimum(label[a], label[b])
-        following = label.copy()
-        np.minimum.at(following, a, low)
-        np.minimum.at(following, b, low)
-        following = following[following]
-        if (following == label).all():
-            break
-        label = following
-    hung = label != np.arange(len(nodes))
-    return nodes[hung], nodes[label[hung]]
+def _counted(
+    graph: Graph,
+    own: np.ndarray,
+    copies: np.ndarray,
+    reps: np.ndarray,
+    vectors: np.ndarray,
+    planted: np.ndarray,
+    least: float,
+    beam: int,
+    forest: Forest | None = None,
+) -> np.ndarray:
+    """Links of each query with the nodes ``own``, weighed by their ``copies``; no class links with itself, planted vectors
+    with the one whose id they go by. All links go into the ``forest``.
+
+    Of a large group the links are counted as they come, and never held together.
+    """
+    links = np.zeros(len(reps), np.int64)
+    for query, node in graph.matches(vectors, least, beam):
+        if node.ndim == 2:
+            links[query] += node @ copies
+            place = np.searchsorted(own, reps[query])
+            rows = np.flatnonzero(np.isin(reps[query], own) & ~planted[query])
+            links[query[rows]] -= np.where(node[rows, place[rows]], copies[place[rows]], 0)
+            if forest is not None:
+                forest.add_marked(query, node)
+        else:
+            other = planted[query] | (reps[query] != own[node])
+            links += np.bincount(query[other], copies[node[other]], len(reps)).astype(np.int64)
+            if forest is not None:
+                forest.add(query, node)
+    return links
 
 
 def _searcher(beam: int, least: float):
@@ -90,19 +104,22 @@ def _searcher(beam: int, least: float):
         empty = pa.array([], pa.int64())
         if not len(queries) or not len(graphs):
             return pa.table({"a": empty, "b": empty, "links": empty})
-        graph, own = Graph.from_bytes(graphs["graph"][0].as_py())
-        reps = queries["rep"].to_numpy()
-        query, node = graph.within(_matrix(queries, queries["dim"][0].as_py()), least, beam)
-        other = reps[query] != own["rep"][node]
-        query, node = query[other], node[other]
-        links = np.bincount(query, own["copies"][node], len(reps)).astype(np.int64)
-        a, b = _forest(reps[query], own["rep"][node])
-        some = links > 0
+        graph, more = Graph.from_bytes(graphs["graph"][0].as_py())
+        reps, own = queries["rep"].to_numpy(), more["rep"]
+        forest, vectors = Forest(len(own), len(reps)), _matrix(queries, queries["dim"][0].as_py())
+        links = _counted(graph, own, more["copies"], reps, vectors, np.zeros(len(reps), bool), least, beam, forest)
+        # A link from everything to the smallest id that it is connected with; a class may be both node and query.
+        ids = np.concatenate([own, reps])
+        lowest = np.full(len(ids), np.iinfo(np.int64).max)
+        np.minimum.at(lowest, forest.root, ids)
+        low = lowest[forest.root]
+        hung, some = ids != low, links > 0
+        pairs = np.unique(np.column_stack([ids[hung], low[hung]]), axis=0)
         return pa.table(
             {
-                "a": pa.array(np.concatenate([reps[some], a]), pa.int64()),
-                "b": pa.concat_arrays([pa.nulls(int(some.sum()), pa.int64()), pa.array(b, pa.int64())]),
-                "links": pa.concat_arrays([pa.array(links[some], pa.int64()), pa.nulls(len(a), pa.int64())]),
+                "a": pa.array(np.concatenate([reps[some], pairs[:, 0]]), pa.int64()),
+                "b": pa.concat_arrays([pa.nulls(int(some.sum()), pa.int64()), pa.array(pairs[:, 1], pa.int64())]),
+                "links": pa.concat_arrays([pa.array(links[some], pa.int64()), pa.nulls(len(pairs), pa.int64())]),
             }
         )
 
@@ -130,13 +147,8 @@ def _links_of(graphs: DataFrame, sample: dict[int, tuple], least: float, beam: i
     def count(table: pa.Table) -> pa.Table:
         dim = table["dim"][0].as_py()
         reps, vectors, planted = shared.value.get(dim, (np.empty(0, np.int64), np.empty((0, dim)), np.empty(0, bool)))
-        links = np.zeros(len(reps), np.int64)
-        graph, own = Graph.from_bytes(table["graph"][0].as_py())
-        for begin in range(0, len(reps), AUDIT_ROWS):
-            query, node = graph.within(vectors[begin : begin + AUDIT_ROWS], least, beam)
-            query = query + begin
-            other = planted[query] | (reps[query] != own["rep"][node])
-            links += np.bincount(query[other], minlength=len(reps))
+        graph, more = Graph.from_bytes(table["graph"][0].as_py())
+        links = _counted(graph, more["rep"], np.ones(len(more["rep"]), np.int64), reps, vectors, planted, least, beam)
         at = np.flatnonzero(links)
         return pa.table({"dim": pa.array(np.full(len(at), dim), pa.int32()), "at": pa.array(at, pa.int64()), "links": pa.array(links[at], pa.int64())})
 
@@ -218,8 +230,8 @@ def linked_vectors(vectors: DataFrame, least: float = COSINE, beam: int = BEAM)
 
     Equal vectors are one class with a number of copies. Classes are dealt to shards by a hash and a navigable small-world
     graph is built of each (a shard holds at most about ``SHARD_VALUES`` numbers). Every class queries
-    every shard: it walks the shard's graph with a beam, which widens while it is full of links, and each
-    link found is verified by its cosine in double precision.
+    every shard: it walks the shard's graph with a beam, which widens once if it is full of links; a query that is still full of them
+    is compared with the whole shard. Each link found is verified by its cosine in double precision.
 
     Before that the beam is audited. Classes drawn by a hash are compared with all others by brute force, until ``LINKED`` of
     them have links outside large groups (:data:`LARGE`) or a bounded number is drawn. The mean share of its linked classes that a search

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import io
+from collections.abc import Iterator
 
 import numpy as np
 
 DEGREE = 16
 BUILD_BEAM = 48
 BATCH = 256
-# Beam entries that are expanded in one step.
+# Beam entries that are expanded in one step, and cosines that a scan computes at once.
 STEP = 4
+SCANNED = 1 << 22
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -18,6 +20,35 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt(np.einsum("ij,ij->i", vectors, vectors))[:, None]
 
 
+class Forest:
+    """Connected nodes and queries, the smaller number standing for both; queries come after the nodes."""
+
+    def __init__(self, nodes: int, queries: int):
+        self.nodes, self.root = nodes, np.arange(nodes + queries)
+
+    def add(self, query: np.ndarray, node: np.ndarray) -> None:
+        left, right = query + self.nodes, node
+        while len(left):
+            low = np.minimum(self.root[left], self.root[right])
+            for side in (self.root[left], self.root[right]):
+                np.minimum.at(self.root, side, low)
+            while True:
+                following = self.root[self.root]
+                if (following == self.root).all():
+                    break
+                self.root = following
+            apart = self.root[left] != self.root[right]
+            left, right = left[apart], right[apart]
+
+    def add_marked(self, query: np.ndarray, marked: np.ndarray) -> None:
+        """Links given by a row of marks for each query: a few of them connect nearly all, the rest is few."""
+        rows, columns = np.flatnonzero(marked.any(1)), np.flatnonzero(marked.any(0))
+        self.add(query[rows], marked[rows].argmax(1))
+        self.add(query[marked[:, columns].argmax(0)], columns)
+        row, column = np.nonzero(marked & (self.root[query + self.nodes][:, None] != self.root[: self.nodes]))
+        self.add(query[row], column)
+
+
 class Graph:
     """Layers of neighbour lists over unit vectors; layer 0 holds all of them, each next one a 16th."""
 
@@ -171,52 +202,49 @@ class Graph:
         """Queries at once, so that what has been seen takes a bounded amount of memory."""
         return max(16, min(1024, (1 << 26) // max(1, len(self.quick))))
 
-    def within(self, queries: np.ndarray, least: float, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs ``(query, node)`` of a cosine of ``least`` or more, verified in double precision.
+    def matches(self, queries: np.ndarray, least: float, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Nodes of a cosine of ``least`` or more to the queries, verified in double precision, in parts of bounded size.
 
-        A beam that is full of such nodes is doubled, for the queries it concerns, until it is not.
+        A part is ``(query, node)`` pairs or, where the second array has two axes, some queries and for each of them a row
+        that marks their nodes. The parts of a query do not overlap. A beam that is full of such nodes is doubled once for the
+        queries it concerns; a query whose beam is full again is compared with all nodes, which is cheaper than
+        walking among so many.
         """
         count = len(self.quick)
         if not count or not len(queries):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
+            return
         exact = unit(queries)
-        found: list[tuple[np.ndarray, np.ndarray]] = []
         for begin in range(0, len(queries), self._rows()):
             part = np.arange(begin, min(begin + self._rows(), len(queries)))
             if width >= count:
-                found.append(self._all_within(exact, part, least))
+                yield from self._scan(exact, part, least)
                 continue
             quick = exact[part].astype(np.float32)
             starts = np.full((len(part), 1), self.entry, np.int64)
             for layer in range(int(self.levels[self.entry]), 0, -1):
                 starts = self._beam(quick, starts, layer, 4)[0]
-            beam = width
-            while len(part):
-                if beam >= count:
-                    found.append(self._all_within(exact, part, least))
+            for beam in (width, 2 * width):
+                if not len(part) or beam >= count:
                     break
                 ids, sims = self._beam(quick, starts, 0, beam)
                 full = sims[:, -1] >= least - 0.01
                 at, place = np.nonzero((sims >= least - 0.001) & ~full[:, None])
-                found.append((part[at], ids[at, place]))
-                part, quick, starts, beam = part[full], quick[full], ids[full][:, :64], 2 * beam
-        query = np.concatenate([pair[0] for pair in found])
-        node = np.concatenate([pair[1] for pair in found])
-        keep = np.zeros(len(query), bool)
-        for begin in range(0, len(query), 1 << 18):
-            some = slice(begin, begin + (1 << 18))
-            keep[some] = np.einsum("ij,ij->i", exact[query[some]], self.vectors[node[some]]) >= least
-        return query[keep], node[keep]
-
-    def _all_within(self, exact: np.ndarray, part: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-        at, node = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        step = max(1, (1 << 22) // len(self.vectors))
+                query, node = part[at], ids[at, place]
+                close = np.einsum("ij,ij->i", exact[query], self.vectors[node]) >= least
+                yield query[close], node[close]
+                part, quick, starts = part[full], quick[full], ids[full][:, :64]
+            yield from self._scan(exact, part, least)
+
+    def _scan(self, exact: np.ndarray, part: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        step = max(1, SCANNED // len(self.vectors))
         for begin in range(0, len(part), step):
             some = part[begin : begin + step]
-            row, near = np.nonzero(exact[some] @ self.vectors.T >= least - 1e-9)
-            at.append(some[row])
-            node.append(near)
-        return np.concatenate(at), np.concatenate(node)
+            near = exact[some] @ self.vectors.T
+            close = near >= least
+            # Matrix products round differently from one shape to the next.
+            row, node = np.nonzero(np.abs(near - least) < 1e-9)
+            close[row, node] = np.einsum("ij,ij->i", exact[some[row]], self.vectors[node]) >= least
+            yield some, close
 
     def to_bytes(self, **more: np.ndarray) -> bytes:
         out = io.BytesIO()

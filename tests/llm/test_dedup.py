@@ -1,13 +1,15 @@
 """Operators 1, 5 and 8 against plain versions."""
 
 import random
+import time
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from tallymill.llm import embedding_dedup, jaccard, substring_dedup
-from tallymill.llm.hnsw import Graph
+from tallymill.llm.hnsw import Forest, Graph
 from tallymill.llm.tables import components
 from tests.llm import brute
 
@@ -173,11 +175,49 @@ def test_pairs_are_found_beside_a_hot_group_and_where_links_are_rare(spark, monk
     assert sum(found.get(2 * pairs + key, 0) for key in range(hot)) >= 0.99 * hot * (hot - 1)
 
 
+def counts_of(graph, vectors, beam, forest=None):
+    own, ones = np.arange(len(graph.vectors)), np.ones(len(graph.vectors), np.int64)
+    return embedding_dedup._counted(graph, own, ones, np.arange(len(vectors)), vectors, np.zeros(len(vectors), bool), 0.9, beam, forest)
+
+
 def test_beams_widen_for_large_groups():
     vectors = vectors_with_groups(3, 1, 400, 0.05)
-    query, node = Graph.build(vectors).within(vectors, 0.9, 16)
-    counts = np.bincount(query, minlength=len(vectors))
-    assert (counts[150:] >= 396).all() and counts[150:].mean() > 399
+    counts = counts_of(Graph.build(vectors), vectors, 16)
+    assert (counts[150:] >= 396).all() and counts[150:].mean() > 398
+
+
+@pytest.mark.parametrize("beam", [16, 10_000])
+@pytest.mark.parametrize("noise", [0.05, 0.33])
+def test_forests_connect_what_is_linked(beam, noise):
+    vectors = vectors_with_groups(4, 6, 90, noise)
+    forest = Forest(len(vectors), len(vectors))
+    links = counts_of(Graph.build(vectors), vectors, beam, forest)
+    expected = expected_links(vectors)
+    if beam > len(vectors):
+        assert links.tolist() == [expected[key][0] for key in range(len(vectors))]
+        # Every query links with its own node as well, so the lowest number of a root is that of a node.
+        assert forest.root.tolist() == [expected[key][1] for key in range(len(vectors))] * 2
+
+
+def test_every_row_is_right_when_the_beam_is_the_shard(spark):
+    vectors = vectors_with_groups(2, 6, 40, 0.33)
+    vectors = np.concatenate([vectors, vectors[:3], vectors[-3:]])
+    frame = spark.createDataFrame([(key, vector.tolist()) for key, vector in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = embedding_dedup.linked_vectors(frame, beam=10**6).collect()
+    assert {row.vec_id: (row.n_links, row.component_id, row.kept) for row in found} == expected_links(vectors)
+
+
+def test_a_shard_of_near_copies_takes_seconds():
+    draw = np.random.default_rng(6)
+    vectors = draw.normal(size=64) + 0.02 * draw.normal(size=(6000, 64))
+    graph = Graph.build(vectors)
+    started, forest = time.perf_counter(), Forest(6000, 6000)
+    tracemalloc.start()
+    links = counts_of(graph, vectors, embedding_dedup.BEAM, forest)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert (links == 5999).all() and (forest.root == 0).all()
+    assert time.perf_counter() - started < 30 and most < 500e6
 
 
 def test_components_of_chains_stars_and_pairs(spark):
