@@ -249,11 +249,78 @@ WITH marked AS (
 SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM joined
 """
 
+_VECTORS = r"""
+WITH RECURSIVE given AS (
+  SELECT vec_id, list_transform(embedding, lambda x : x::DOUBLE) AS v FROM embeddings
+), usable AS (
+  SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x : x * x))) AS length FROM given
+  WHERE vec_id IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x : x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(v, lambda x : x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / (a.length * b.length) >= 0.9
+), reached AS (
+  SELECT vec_id AS node, vec_id AS low FROM given WHERE vec_id IS NOT NULL
+  UNION
+  SELECT b, low FROM reached JOIN links ON a = node
+), components AS (SELECT node, min(low) AS low FROM reached GROUP BY node),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, low AS component_id, coalesce(vec_id = low, false) AS kept
+FROM given LEFT JOIN components ON node = vec_id LEFT JOIN counts ON a = vec_id
+"""
+
+_JACCARD = r"""
+WITH RECURSIVE doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 4], ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM doc_words WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*)::BIGINT AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_have FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * both_have >= 75 * (x.n + y.n - both_have)
+), either AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id AS node, doc_id AS low FROM documents
+  UNION
+  SELECT b, low FROM reached JOIN either ON a = node
+), components AS (SELECT node, min(low) AS low FROM reached GROUP BY node)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, low AS component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN components ON node = d.doc_id
+"""
+
+_PASSAGES = r"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM doc_words WHERE len(w) >= 50)
+), firsts AS (SELECT h, min(doc_id) AS low FROM windows GROUP BY h HAVING count(*) > 1),
+later AS (
+  SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS previous FROM windows JOIN firsts USING (h) WHERE low < doc_id
+), covered AS (
+  -- Of each window the words that the one before it does not cover.
+  SELECT doc_id, unnest(range(greatest(i, coalesce(previous + 50, i)), i + 50)) AS i FROM later
+), words AS (
+  SELECT doc_id, i, w[i] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM doc_words)
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t, count(*) AS n FROM words ANTI JOIN covered USING (doc_id, i) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM doc_words d LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLES = {
+    "op1_embedding_dedup": _VECTORS,
     "op3_benchmark_leaks": _LEAKS,
     "op4_line_dedup": _LINES,
+    "op5_jaccard_join": _JACCARD,
     "op6_chat_format": _CHAT,
     "op7_source_mix": _MIX,
+    "op8_substring_dedup": _PASSAGES,
     "op9_main_text": _PAGES,
     "op11_conversation_repair": _REPAIR,
     "op12_lexical_search": _SEARCH,
