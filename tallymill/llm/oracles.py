@@ -313,8 +313,48 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS
 FROM doc_words d LEFT JOIN kept USING (doc_id)
 """
 
+_PERSONAL = r"""
+-- Base spans; the contexts of the given texts are random and discover nothing.
+WITH texts AS (
+  SELECT row_number() OVER () AS doc, doc_id, coalesce(text, '') AS text FROM documents
+), kinds(k, kind) AS (
+  VALUES (0, 'email'), (1, 'ip'), (2, 'card'), (3, 'phone')
+), matched AS (
+  SELECT doc, doc_id, 0 AS k, regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+') AS found,
+    regexp_split_to_array(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+') AS between_ FROM texts
+  UNION ALL
+  SELECT doc, doc_id, 1, regexp_extract_all(text, '[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)'),
+    regexp_split_to_array(text, '[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)') FROM texts
+  UNION ALL
+  SELECT doc, doc_id, 2, regexp_extract_all(text, '[0-9](?:[\x20-]?[0-9])+'), regexp_split_to_array(text, '[0-9](?:[\x20-]?[0-9])+') FROM texts
+  UNION ALL
+  SELECT doc, doc_id, 3, regexp_extract_all(text, '\+[0-9][\x20().0-9-]+[0-9]'), regexp_split_to_array(text, '\+[0-9][\x20().0-9-]+[0-9]') FROM texts
+), placed AS (
+  SELECT doc, k, found[i] AS match, (list_sum(list_transform(between_[1:i], lambda p : length(p)))
+    + coalesce(list_sum(list_transform(found[1:i - 1], lambda p : length(p))), 0))::BIGINT AS start
+  FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM matched WHERE len(found) > 0)
+), digits AS (
+  SELECT *, regexp_replace(match, '[^0-9]', '', 'g') AS d FROM placed
+), good AS (
+  SELECT doc, k, start, start + length(match) AS stop FROM digits
+  WHERE CASE k WHEN 0 THEN true
+    WHEN 1 THEN len(list_filter(string_split(match, '.'), lambda p : coalesce(TRY_CAST(ltrim('0' || p, '0') AS BIGINT), CASE WHEN ltrim(p, '0') = '' THEN 0 ELSE 999 END) > 255)) = 0
+    WHEN 2 THEN length(d) BETWEEN 16 AND 19 AND list_sum(list_transform(range(1, length(d) + 1), lambda i :
+      CASE WHEN (length(d) - i) % 2 = 0 THEN d[i]::BIGINT ELSE (2 * d[i]::BIGINT) % 10 + (2 * d[i]::BIGINT) // 10 END)) % 10 = 0
+    ELSE length(d) BETWEEN 8 AND 15 END
+), spans AS (
+  SELECT doc, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY k, start) AS shown, count_if(k = 0) AS e, count_if(k = 1) AS i,
+    count_if(k = 2) AS c, count_if(k = 3) AS p
+  FROM good JOIN kinds USING (k) GROUP BY doc
+)
+SELECT doc_id, coalesce(e, 0)::BIGINT AS n_email, coalesce(i, 0)::BIGINT AS n_ip, coalesce(c, 0)::BIGINT AS n_card,
+  coalesce(p, 0)::BIGINT AS n_phone, sha256(coalesce(shown, '')) AS base_sha256, coalesce(shown, '') AS spans, 0::BIGINT AS n_added
+FROM texts LEFT JOIN spans USING (doc)
+"""
+
 ORACLES = {
     "op1_embedding_dedup": _VECTORS,
+    "op2_personal_data": _PERSONAL,
     "op3_benchmark_leaks": _LEAKS,
     "op4_line_dedup": _LINES,
     "op5_jaccard_join": _JACCARD,

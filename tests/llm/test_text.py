@@ -1,5 +1,6 @@
 """Operators 2, 9 and 10."""
 
+import hashlib
 import random
 import re
 import time
@@ -47,8 +48,8 @@ def test_base_spans_equal_the_plain_patterns(text):
 
 
 def test_base_spans_of_long_runs_take_linear_time():
-    for text in ("a" * 300_000, "1" * 300_000, "1." * 100_000, "a@" * 100_000, "+1" * 100_000, "1 " * 150_000):
-        personal_data.base_spans(text)
+    for text in ("a" * 300_000, "1" * 300_000, "1." * 100_000, "a@" * 100_000, "+1" * 100_000, "1 " * 150_000, "(at)" * 80_000):
+        list(personal_data.candidates(text, personal_data.base_spans(text)))
 
 
 def spans_of(spark, rows):
@@ -69,6 +70,57 @@ def test_contexts_of_seeds_find_unseen_identifiers(spark):
     assert found[21] == found[22] == found[23] == ([], [])
 
 
+def test_discovered_identifiers_open_further_contexts(spark):
+    """Two hops: addresses in disguise stand where seeds stand, and then in a context without any seed."""
+    rows = [(key, f"filler {key} please write to user{key}@mail.example.org for news", 0, 0) for key in range(12)]
+    rows += [(20 + key, f"go write to hidden{key}(at)mail{key} for all", 0, 0) for key in range(9)]
+    rows += [(30 + key, f"the parcel went care of hidden{key}(at)mail{key} yesterday evening", 0, 0) for key in range(9)]
+    rows += [(40, "the parcel went care of late[at]mail99 yesterday evening", 0, 0), (41, "some late[at]mail98 elsewhere", 0, 0)]
+    found = spans_of(spark, rows)
+    text = rows[-2][1]
+    assert found[40] == ([], [(0, text.index("late"), text.index(" yesterday"))])
+    assert all(len(found[key][1]) == 1 for at in range(9) for key in (20 + at, 30 + at))
+    assert found[41] == ([], [])
+
+
+def test_discovered_spans_are_whole_and_have_the_form_of_their_kind(spark):
+    rows = [(key, f"filler {key} ring me on +49 30 5550{key:03} after nine", 0, 0) for key in range(20)]
+    rows += [(30, "now ring me on (030) 555 77 99 after nine", 0, 0), (31, "now ring me on 7 after nine", 0, 0)]
+    rows += [(32, "now ring me on joe@home after nine", 0, 0), (33, "now ring me on 4111 1111 1111 1111 22 after nine", 0, 0)]
+    found = spans_of(spark, rows)
+    assert found[0][0] == [(3, 20, 34)]
+    text = rows[20][1]
+    assert found[30] == ([], [(3, text.index("(030"), text.index(" after"))])
+    assert found[31] == found[32] == found[33] == ([], [])
+
+
+def test_ordinary_numbers_make_a_context_doubtful(spark):
+    rows = [(key, f"filler {key} it is on +49 30 5550{key:03} again", 0, 0) for key in range(6)]
+    rows += [(20 + key, f"filler {key} it is on page{key} again", 0, 0) for key in range(6)] + [(40, "so it is on 030 555 77 99 again", 0, 0)]
+    assert spans_of(spark, rows)[40] == ([], [])
+
+
+def test_contexts_of_long_words_are_whole():
+    one, other = "x" * 500 + "a", "x" * 500 + "b"
+    spans = [personal_data.contexts(f"{word} word 123@5 {word}", 507, 512) for word in (one, other)]
+    assert len(spans[0]) == 2 and not set(spans[0]) & set(spans[1])
+    assert personal_data.contexts("a@b", 0, 3) == [] and len(personal_data.contexts("to a@b now", 3, 6)) == 1
+
+
+def test_query_of_personal_data_adds_nothing_false_on_the_given_texts(spark):
+    """The given texts hold personal data in random contexts; every span is a base span, told by plain patterns."""
+    from tallymill.llm import registry
+
+    texts = dict(spark.read.parquet(f"{MEDIUM}/documents.parquet").select("doc_id", "text").collect())
+    for row in registry.QUERIES["op2_personal_data"](spark, MEDIUM).collect():
+        spans = plain_spans(texts[row.doc_id] or "")
+        shown = ",".join(f"{personal_data.KINDS[kind]}:{start}:{end}" for kind, start, end in spans)
+        counts = tuple(sum(kind == at for kind, *_ in spans) for at in range(4))
+        assert (row.n_email, row.n_ip, row.n_card, row.n_phone) == counts
+        assert row.base_sha256 == hashlib.sha256(shown.encode()).hexdigest()
+        assert row.spans == shown and row.n_added == 0
+
+
 def test_spans_of_repeated_rows_and_nothing(spark):
     assert spans_of(spark, []) == {}
     frame = spark.createDataFrame([(1, "a@b.c 10.0.0.1"), (1, "a@b.c 10.0.0.1"), (None, "a@b.c")], "doc_id long, text string")
