@@ -7,17 +7,16 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 
-# Rows of each label that a model is fitted on, about; the words and the n-grams of each length that it keeps of each.
+# Bounds of the sample that a model is fitted on: rows of each label, about, and characters of their texts.
 SAMPLE_ROWS = 2000
-MOST_WORDS = 20_000
-MOST_GRAMS = 5_000
+SAMPLE_CHARS = 1_000_000
 LONGEST_GRAM = 5
 # Posterior odds are those of this many average words at most, so that long texts do not all score 1.
 WEIGHED_WORDS = 20
@@ -131,32 +130,28 @@ def _counted(batches):
             )
 
 
-def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", rows: int = SAMPLE_ROWS) -> Model:
+def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Model:
     """A model of the labelled rows whose text and label are not null.
 
-    It is fitted on about ``rows`` rows of each label, chosen by a hash of ``key``, and keeps the ``MOST_WORDS``
-    most frequent words of each and ``MOST_GRAMS`` n-grams of each length: a bounded table,
-    whatever the input. The words of the sample are counted in tasks. No usable row gives a model that answers
-    ``und`` to everything.
+    It is fitted on a bounded sample: of each label about ``rows`` rows, chosen by a hash of ``key`` and the text, and of these as many
+    as make ``chars`` characters together, texts that are longer than that by themselves last; one at least. All words and
+    n-grams of the sample are kept, so the model is bounded by the sample, whatever the input; it grows with the number of labels. The words are
+    counted in tasks. No usable row gives a model that answers ``und`` to everything.
     """
     usable = labelled.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).alias("label")).where(
         "text IS NOT NULL AND label IS NOT NULL"
     )
-    sizes = {row["label"]: row["count"] for row in usable.groupBy("label").count().collect()}
-    if not sizes:
-        return Model([])
     steps = 1 << 30
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(steps, -(-rows * steps // n)))])
-    sample = usable.where(F.pmod(F.xxhash64(F.lit("language"), "key"), F.lit(steps)) < share[F.col("label")])
+    usable = usable.withColumn("place", F.pmod(F.xxhash64(F.lit("language"), "key", "text"), F.lit(steps)))
+    sizes = usable.groupBy("label").count()
+    drawn = usable.join(sizes, "label").where(F.col("place") < F.ceil(F.lit(rows).cast("double") * steps / F.col("count")))
+    # The window sees about ``rows`` rows of a label.
+    order = Window.partitionBy("label").orderBy(F.length("text") > chars, "place", "key", "text")
+    before = F.coalesce(F.sum(F.length("text")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sample = drawn.withColumn("before", before).where(F.col("before") < chars)
     counts = sample.select("label", "text").mapInArrow(_counted, "label string, kind int, gram string, n long")
-    summed = counts.groupBy("label", "kind", "gram").agg(F.sum("n").alias("n"))
-    # The most frequent of each table are found by a threshold on counts, so that no window sorts a table.
-    tables = summed.groupBy("label", "kind").agg(
-        F.slice(F.reverse(F.array_sort(F.collect_list("n"))), 1, MOST_WORDS).alias("ns")
-    ).withColumn("most", F.when(F.col("kind") == 0, MOST_WORDS).otherwise(MOST_GRAMS))
-    least = tables.select("label", "kind", F.get("ns", F.least(F.size("ns"), "most") - 1).alias("least"))
-    kept = summed.join(least, ["label", "kind"]).where("n >= least").select("label", "kind", "gram", "n")
-    return Model([tuple(row) for row in kept.collect()])
+    summed = counts.groupBy("label", "kind", "gram").agg(F.sum("n").alias("n")).orderBy("kind", "gram", "label").toArrow()
+    return Model(list(zip(*(summed[name].to_pylist() for name in ("label", "kind", "gram", "n")), strict=True)))
 
 
 def predicted(documents: DataFrame, model: Model) -> DataFrame:

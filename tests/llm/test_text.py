@@ -277,3 +277,18 @@ def test_language_sample_is_bounded(spark):
     rows = [(at, f"w{draw.randrange(9)}", "x") for at in range(4000)]
     counted = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rows=100)
     assert counted.labels == ["x"]
+
+
+def test_language_model_is_bounded_by_the_characters_of_its_sample(spark):
+    """150,000 different words: the model keeps all words of its sample, and the sample's size is the bound."""
+    rows = [(key, " ".join(f"{chr(97 + key % 26)}{chr(97 + key // 26 % 26)}{chr(97 + key // 676)}{chr(97 + at % 26)}{chr(97 + at // 26)}" for at in range(100)), "xy"[key % 2]) for key in range(1500)]
+    rows += [(5000, "long " * 400_000, "x"), (5001, "words " * 300_000, "z"), (5001, "words " * 300_000, "z")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(frame, chars=60_000)
+    # Texts of 599 characters: of each label as many as reach the bound, the last one not cut.
+    sizes = [sum(1 for word, at in model.tables[0].items() if model.rows[at][label] > model.rows[at][1 - label]) for label in (0, 1)]
+    assert model.labels == ["x", "y", "z"] and all(100 * 100 <= size <= 102 * 100 for size in sizes)
+    # A label of nothing but a text above the bound has that text, and other labels leave it out.
+    assert "words" in model.tables[0] and "long" not in model.tables[0]
+    again = language.fit(frame.repartition(9), chars=60_000)
+    assert again.tables == model.tables and (again.rows == model.rows).all()
