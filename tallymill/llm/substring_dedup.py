@@ -14,7 +14,8 @@ from tallymill.llm.tables import discard, stored
 from tallymill.llm.text import mixed, word_hasher
 
 WINDOW_WORDS = 50
-# Later documents that are streamed through one copy of a reference shard's automaton.
+# Words of an automaton at most; later documents that are streamed through one copy of it.
+PIECE_WORDS = 1 << 16
 STREAMED = 64
 
 _MASK = (1 << 64) - 1
@@ -174,14 +175,29 @@ def _windows(window: int):
 
 
 def _passages(window: int):
-    """``shard, kind, doc, copy, at, words``: the passages of each document, by the document that held them first.
+    """``shard, kind, piece, doc, copy, at, words``: the passages of each document, by the document that held them first.
 
-    Kind 0 is the reference itself, kind 1 a later document.
+    Kind 0 is the reference itself, kind 1 a later document. References are cut into pieces of ``PIECE_WORDS`` words together
+    at most, such that each window is in one of them as a whole.
     """
 
+    def pieces(found):
+        piece = held = 0
+        for begin, words in found:
+            while True:
+                room = PIECE_WORDS - held
+                if room < window:
+                    piece, held = piece + 1, 0
+                    continue
+                yield piece, begin, words[:room]
+                held += min(room, len(words))
+                if len(words) <= room:
+                    break
+                begin, words = begin + room - window + 1, words[room - window + 1 :]
+
     def run(batches):
         for batch in batches:
-            out = [[], [], [], [], [], []]
+            out = [[], [], [], [], [], [], []]
             rows = zip(*(batch[name].to_pylist() for name in ("doc", "copy", "text", "places")), strict=True)
             for doc, copy, text, places in rows:
                 words = text.split()
@@ -191,15 +207,23 @@ def _passages(window: int):
                 new = np.r_[True, (of[1:, 0] != of[:-1, 0]) | (of[1:, 1] > of[:-1, 1] + window)]
                 begins = np.flatnonzero(new)
                 ends = np.r_[begins[1:], len(of)]
+                own = []
                 for begin, end in zip(begins, ends, strict=True):
                     first, start, stop = int(of[begin, 0]), int(of[begin, 1]), int(of[end - 1, 1]) + window
-                    row = (first, int(first != doc), doc, copy, start, b" ".join(words[start:stop]))
+                    if first == doc:
+                        own.append((start, words[start:stop]))
+                        continue
+                    row = (first, 1, None, doc, copy, start, b" ".join(words[start:stop]))
+                    for column, value in zip(out, row, strict=True):
+                        column.append(value)
+                for piece, start, part in pieces(own):
+                    row = (doc, 0, piece, doc, copy, start, b" ".join(part))
                     for column, value in zip(out, row, strict=True):
                         column.append(value)
             if out[0]:
-                types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+                types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
                 yield pa.record_batch(
-                    [pa.array(c, t) for c, t in zip(out, types, strict=True)], ["shard", "kind", "doc", "copy", "at", "words"]
+                    [pa.array(c, t) for c, t in zip(out, types, strict=True)], ["shard", "kind", "piece", "doc", "copy", "at", "words"]
                 )
 
     return run
@@ -212,10 +236,10 @@ def _streamed(window: int):
         shard, automaton = None, None
         for batch in batches:
             out = [[], [], [], []]
-            names = ("shard", "part", "kind", "doc", "copy", "at", "words")
-            for own, part, kind, doc, copy, at, words in zip(*(batch[name].to_pylist() for name in names), strict=True):
-                if (own, part) != shard:
-                    shard, automaton = (own, part), Automaton()
+            names = ("shard", "piece", "part", "kind", "doc", "copy", "at", "words")
+            for *key, kind, doc, copy, at, words in zip(*(batch[name].to_pylist() for name in names), strict=True):
+                if key != shard:
+                    shard, automaton = key, Automaton()
                 if kind == 0:
                     automaton.add(words.split())
                     continue
@@ -278,17 +302,25 @@ def _found(candidates: DataFrame, places: DataFrame, window: int) -> DataFrame:
     passages = stored(
         candidates.select("doc", "copy", "text")
         .join(places, ["doc", "copy"])
-        .mapInArrow(_passages(window), "shard bigint, kind int, doc bigint, copy bigint, at int, words binary"),
+        .mapInArrow(_passages(window), "shard bigint, kind int, piece int, doc bigint, copy bigint, at int, words binary"),
         "passages",
     )
-    parts = passages.where("kind = 1").groupBy("shard").agg(F.ceil(F.count("*") / STREAMED).cast("int").alias("parts"))
-    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    # Each piece of a reference meets each portion of the later documents.
+    sizes = passages.groupBy("shard").agg(
+        F.ceil(F.count_if(F.col("kind") == 1) / STREAMED).cast("int").alias("parts"), (F.max("piece") + 1).alias("pieces")
+    )
+    every = lambda count: F.sequence(F.lit(0), F.col(count) - 1)
+    reference = F.col("kind") == 0
     one = F.array(F.pmod(F.xxhash64("doc", "copy", "at"), F.col("parts")).cast("int"))
-    dealt = passages.join(parts, "shard").withColumn("part", F.explode(F.when(F.col("kind") == 0, every).otherwise(one)))
+    dealt = (
+        passages.join(sizes.where("parts > 0"), "shard")
+        .withColumn("part", F.explode(F.when(reference, every("parts")).otherwise(one)))
+        .withColumn("piece", F.explode(F.when(reference, F.array("piece")).otherwise(every("pieces"))))
+    )
     spans = (
-        dealt.drop("parts")
-        .repartition("shard", "part")
-        .sortWithinPartitions("shard", "part", "kind", "doc", "at")
+        dealt.drop("parts", "pieces")
+        .repartition("shard", "piece", "part")
+        .sortWithinPartitions("shard", "piece", "part", "kind", "doc", "at")
         .mapInArrow(_streamed(window), "doc bigint, copy bigint, start int, end int")
     )
     found = stored(spans.groupBy("doc", "copy").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans")), "spans")
@@ -311,8 +343,8 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW_WORDS) -> DataFram
        of the later documents that were found to repeat it; they are streamed through, and the matching statistics give the
        maximal spans of equal words.
 
-    An automaton of all documents, sent to all tasks, would grow with the corpus. These are bounded by one document, and hold
-    only what repeats. Counting and joining by hash is combined before the shuffle and split by the joins where one
+    An automaton of all documents, sent to all tasks, would grow with the corpus. These hold only what repeats of one document, and
+    ``PIECE_WORDS`` of its words at most: a longer reference has several. Counting and joining by hash is combined before the shuffle and split by the joins where one
     passage is in a great part of all documents.
     """
     texts = _keyed(documents)

@@ -83,6 +83,19 @@ def test_passages_equal_brute_force(spark):
     assert found == brute.without_passages(texts)
 
 
+@pytest.mark.parametrize("piece", [50, 57, 130])
+def test_long_references_are_cut_into_pieces(spark, monkeypatch, piece):
+    monkeypatch.setattr(substring_dedup, "PIECE_WORDS", piece)
+    draw = random.Random(11)
+    long = [f"w{draw.randrange(10**6)}" for _ in range(900)]
+    texts = {0: " ".join(long + ["x"] * 10 + long[:80])}
+    for key in range(1, 25):
+        begin = draw.randrange(850)
+        texts[key] = " ".join([f"own{key}", *long[begin : begin + draw.choice([49, 50, 51, 140, 700])], f"end{key}"])
+    found = {row.doc_id: row.n_removed for row in substring_dedup.without_repeats(frame(spark, list(texts.items()))).collect()}
+    assert found == {key: gone for key, (_, gone, _) in brute.without_passages(texts).items()}
+
+
 def test_passages_of_many_documents_and_very_long_ones(spark):
     draw = random.Random(7)
     passage = " ".join(str(draw.random()) for _ in range(60))
