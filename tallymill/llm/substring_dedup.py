@@ -289,12 +289,16 @@ def _candidates(sets: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _places(candidates: DataFrame, window: int) -> DataFrame:
     """``doc, copy, first, at`` of every window that starts in several documents; ``first`` is the smallest."""
-    windows = candidates.mapInArrow(_windows(window), "hash bigint, doc bigint, copy bigint, at int")
+    windows = stored(candidates.mapInArrow(_windows(window), "hash bigint, doc bigint, copy bigint, at int"), "windows")
     repeated = windows.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("high")).where("first < high")
-    of = windows.join(repeated.select("hash", "first"), "hash")
-    return stored(
+    # Stored, so that the join reads plain tables and splits the windows of a passage that is in many documents.
+    repeated = stored(repeated.select("hash", "first"), "repeated")
+    of = windows.join(repeated, "hash")
+    places = stored(
         of.groupBy("doc", "copy").agg(F.collect_list(F.struct("first", "at")).alias("places")), "places"
     )
+    discard(windows, repeated)
+    return places
 
 
 def _found(candidates: DataFrame, places: DataFrame, window: int) -> DataFrame:
