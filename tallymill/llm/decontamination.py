@@ -75,7 +75,7 @@ def leaks(documents: DataFrame, items: DataFrame, percent: int = PERCENT, most_s
 
     Containment search: items are partitioned by size, and each has a MinHash sketch of just the length
     that no document of sufficient containment can miss (:func:`_sketches`), so that no link is lost. Documents probe
-    the sketches of the size classes they are large enough for. Candidates are verified by exact containment on
+    the sketches of the size classes they are large enough for, on either way. Candidates are verified by exact containment on
     the shingles themselves. The number of sketch entries is counted: up to ``most_sent`` they travel inside the plan, so that
     a document is read once and never shuffled; more are joined by hash. Both ways give the same rows.
     """
@@ -86,7 +86,7 @@ def leaks(documents: DataFrame, items: DataFrame, percent: int = PERCENT, most_s
     if len(entries) <= most_sent:
         candidates = _probed_in_place(probed, entries, percent)
     else:
-        candidates = _probed_by_join(probed, sketches)
+        candidates = _probed_by_join(probed, sketches, percent)
     wanted = sketches.select(F.col("item").alias("i"), "texts", "size")
     found = F.size(F.array_intersect("held", "texts")).cast("long")
     return (
@@ -98,6 +98,12 @@ def leaks(documents: DataFrame, items: DataFrame, percent: int = PERCENT, most_s
     )
 
 
+def _large_enough(size_class: Column, percent: int) -> Column:
+    """A document holds ``percent`` of an item only if it has that many shingles itself."""
+    n_shingles = F.greatest(F.size("words") - SHINGLE_WORDS + 1, F.lit(1)).cast("long")
+    return n_shingles * 100 >= F.pow(F.lit(2), size_class) * percent
+
+
 def _probed_in_place(probed: DataFrame, entries: list, percent: int) -> DataFrame:
     classes, owners = defaultdict(set), defaultdict(set)
     for hashed, item, size_class in entries:
@@ -106,10 +112,8 @@ def _probed_in_place(probed: DataFrame, entries: list, percent: int) -> DataFram
     if not entries:
         return probed.where(F.lit(False)).withColumn("item", F.lit(None).cast("bigint"))
     listed = lambda hashes: F.split(F.lit(",".join(map(str, sorted(hashes)))), ",").cast("array<bigint>")
-    # A document holds `percent` of an item only if it has that many shingles itself.
-    n_shingles = F.greatest(F.size("words") - SHINGLE_WORDS + 1, F.lit(1))
     hits = [
-        F.when(n_shingles * 100 >= (1 << size_class) * percent, F.array_intersect("hashes", listed(hashes))).otherwise(
+        F.when(_large_enough(F.lit(size_class), percent), F.array_intersect("hashes", listed(hashes))).otherwise(
             F.array().cast("array<bigint>")
         )
         for size_class, hashes in sorted(classes.items())
@@ -122,12 +126,15 @@ def _probed_in_place(probed: DataFrame, entries: list, percent: int) -> DataFram
     return _unnested(hit.select("doc", "words", items_of.alias("candidates")), "candidates", "item")
 
 
-def _probed_by_join(probed: DataFrame, sketches: DataFrame) -> DataFrame:
-    wanted = _unnested(sketches, "sketch", "hash").select("hash", "item")
-    hashes = probed.select("doc", F.array_distinct(shingle_hashes(F.col("words"))).alias("hashes"))
+def _probed_by_join(probed: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    wanted = _unnested(sketches, "sketch", "hash").select("hash", "item", "class")
+    # The largest class that a document may hold items of.
+    largest = F.floor(F.log2(F.greatest(F.size("words") - SHINGLE_WORDS + 1, F.lit(1)) * 100 / percent) + 1e-9).cast("int")
+    hashes = probed.select("doc", largest.alias("largest"), F.array_distinct(shingle_hashes(F.col("words"))).alias("hashes"))
     found = (
         _unnested(hashes, "hashes", "hash")
         .join(wanted, "hash")
+        .where("class <= largest")
         .select(F.col("doc").alias("found"), "item")
         .distinct()
     )

@@ -52,6 +52,23 @@ def test_items_without_an_id_match_nothing(spark, most_sent):
     assert [tuple(row) for row in found.collect()] == [(2, 3, 3, 3)]
 
 
+@pytest.mark.parametrize("most_sent", [0, 1 << 14])
+@pytest.mark.parametrize("percent", [75, 100, 30])
+def test_documents_at_the_edge_of_a_size_class(spark, most_sent, percent):
+    """Items of 1 to 40 shingles and documents that hold the least part of them that counts, or one shingle less."""
+    items, rows = {}, []
+    for size in range(1, 41):
+        words = [f"i{size}w{at}" for at in range(size + 4)]
+        items[size] = " ".join(words)
+        need = -(-size * percent // 100)
+        for extra, key in ((0, size), (-1, 100 + size)):
+            rows.append((key, " ".join(words[: need + extra + 4]) if need + extra else "none", "s", 0))
+    found = decontamination.leaks(
+        frame(spark, rows), spark.createDataFrame(list(items.items()), "item_id long, text string"), percent, most_sent
+    )
+    assert sorted((row.doc_id, row.item_id) for row in found.collect()) == [(size, size) for size in range(1, 41)]
+
+
 def test_long_document_holds_a_short_item(spark):
     draw = random.Random(4)
     item = " ".join(str(draw.random()) for _ in range(20))
