@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymill.llm import decontamination, jaccard, language, line_dedup, mixing
+from tallymill.llm.oracles import ORACLES
 from tallymill.llm.tables import load, stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -63,8 +64,34 @@ STAGES = [
     ("mixing sources to target weights", mix_sources),
 ]
 
-# SQL cannot express the learned language model of the first stage.
-ORACLE_SQL = None
+
+
+def _over(sql: str, table: str) -> str:
+    """The SQL of an operator over another table than ``documents``."""
+    return sql.replace("documents", table)
+
+
+# The learned model of the first stage decides no row and fills in missing labels. Labels are never missing in the given
+# tables, so that SQL can do without it there.
+_KEPT_LINES = ORACLES["op4_line_dedup"].replace("sha256(coalesce(t, '')) AS kept_sha256", "coalesce(t, '') AS kept")
+ORACLE_SQL = rf"""
+WITH lettered AS (
+  SELECT doc_id, text, lang, source, n_chars FROM documents WHERE regexp_matches(text, '\p{{L}}')
+), lines_of AS ({_over(_KEPT_LINES, "lettered")}
+), lined AS (
+  SELECT doc_id, CASE WHEN n_removed = 0 THEN text ELSE kept END AS text, lang, source,
+    length(CASE WHEN n_removed = 0 THEN text ELSE kept END)::BIGINT AS n_chars
+  FROM lettered JOIN lines_of USING (doc_id) WHERE n_removed = 0 OR n_removed < n_lines
+), groups_of AS ({_over(ORACLES["op5_jaccard_join"], "lined")}
+), single AS (
+  SELECT lined.* FROM lined JOIN groups_of USING (doc_id) WHERE doc_id = component_id
+), leaks_of AS ({_over(ORACLES["op3_benchmark_leaks"], "single")}
+), clean AS (
+  SELECT * FROM single ANTI JOIN leaks_of USING (doc_id)
+), mix_of AS ({_over(ORACLES["op7_source_mix"], "clean")}
+)
+SELECT clean.*, size, taken FROM clean JOIN mix_of USING (doc_id) WHERE taken > 0
+"""
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
