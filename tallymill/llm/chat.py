@@ -90,14 +90,19 @@ def formatted(nodes: DataFrame, best: int | None = None) -> DataFrame:
         F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"),
     )
     same = F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n"))
-    turns = reply_paths(nodes).join(content, same).groupBy("tree", "leaf").agg(
+    paths = reply_paths(nodes)
+    if best is not None:
+        # Branches are ranked by their nodes' scores alone; texts are joined to the chosen ones only.
+        sums = paths.join(content.select("t", "n", "score"), same).groupBy("tree", "leaf").agg(F.sum("score").alias("sum"))
+        place = F.row_number().over(Window.partitionBy("tree").orderBy(F.col("sum").desc(), "leaf"))
+        chosen = sums.withColumn("place", place).where(F.col("place") <= best).select(F.col("tree").alias("of"), F.col("leaf").alias("end"))
+        paths = paths.join(chosen, F.col("tree").eqNullSafe(F.col("of")) & (F.col("leaf") == F.col("end"))).select(*paths.columns)
+    turns = paths.join(content, same).groupBy("tree", "leaf").agg(
         F.array_sort(F.collect_list(F.struct((-F.col("distance")).alias("at"), "role", "text"))).alias("turns"),
         F.sum("score").alias("score"),
     )
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.col("score").desc(), "leaf"))
     turns = turns.withColumn("rank", rank)
-    if best is not None:
-        turns = turns.where(F.col("rank") <= best)
     pieces = F.transform(
         "turns",
         lambda turn: F.struct(
