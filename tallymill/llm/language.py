@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tallymill.llm.tables import stored
+
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 
@@ -18,6 +20,7 @@ UNKNOWN = "und"
 SAMPLE_ROWS = 2000
 SAMPLE_CHARS = 1_000_000
 LONGEST_GRAM = 5
+SENT_LABELS = 1 << 14
 # Posterior odds are those of this many average words at most, so that long texts do not all score 1.
 WEIGHED_WORDS = 20
 _MEMO_ENTRIES = 1 << 19
@@ -143,8 +146,9 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
     )
     steps = 1 << 30
     usable = usable.withColumn("place", F.pmod(F.xxhash64(F.lit("language"), "key", "text"), F.lit(steps)))
-    sizes = usable.groupBy("label").count()
-    drawn = usable.join(sizes, "label").where(F.col("place") < F.ceil(F.lit(rows).cast("double") * steps / F.col("count")))
+    # A row for each label: sent to the tasks if it is few, so that texts are drawn where they are read.
+    sizes = stored(usable.groupBy("label").count(), "labels")
+    drawn = usable.join(F.broadcast(sizes) if sizes.count() <= SENT_LABELS else sizes, "label").where(F.col("place") < F.ceil(F.lit(rows).cast("double") * steps / F.col("count")))
     # The window sees about ``rows`` rows of a label.
     order = Window.partitionBy("label").orderBy(F.length("text") > chars, "place", "key", "text")
     before = F.coalesce(F.sum(F.length("text")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
