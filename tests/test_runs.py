@@ -49,8 +49,12 @@ def test_sampler_keeps_its_input(spark, inputs, tmp_path):
 def test_recommender_from_files(spark, inputs, tmp_path, mode):
     out = str(tmp_path / "out")
     run = runs.run_recommender(
-        spark, mode, *inputs, out, user_id=3, k=5, max_iter=5, ranks=(4,), reg_params=(0.1, 0.01), folds=2
+        spark, mode, *inputs, out, user_id=3, k=5, max_iter=5, ranks=(4,), reg_params=(0.1, 0.01), folds=2, audited=mode == "ALS"
     )
+    if mode == "ALS":
+        faults = [tuple(row) for row in run.audit.orderBy("table").collect()]
+        unrated = run.unrated.count()
+        assert faults == [("recommendations", 150, 750, 0, 0, 0, 0), ("unrated", 150, unrated, 0, 0, 0, 0)]
     per_user = run.recommendations.groupBy("userId").count().collect()
     assert {row["userId"]: row["count"] for row in per_user} == {user: 5 for user in range(150)}
     rated = {row[0] for row in readers.read_ratings(spark, inputs[0]).where("userId = 3").select("movieId").collect()}
@@ -87,7 +91,7 @@ def test_command_line(spark, inputs, tmp_path, capsys):
 
     cli.main(
         ["recommend", "ALS", *inputs, str(tmp_path / "rec"), "--user", "3", "--max-iter", "2", "--ranks", "2",
-         "--reg-params", "0.1", "--top", "3", "--user-list", str(tmp_path / "list")]
+         "--reg-params", "0.1", "--top", "3", "--user-list", str(tmp_path / "list"), "--audit"]
     )
     files = [name for name in os.listdir(tmp_path / "list") if name.startswith("part-")]
     assert len(files) == 1
@@ -97,7 +101,7 @@ def test_command_line(spark, inputs, tmp_path, capsys):
     assert all(line.split(",")[-2] == "3" for line in lines)
     printed = capsys.readouterr().out
     assert "best parameters: rank=2, regParam=0.1" in printed and "improvement_percent" in printed
-    assert printed.count("unrated movies of user 3") == 2
+    assert printed.count("unrated movies of user 3") == 2 and "left_out" in printed
 
 
 @pytest.mark.parametrize("arguments", [[], ["reports"], ["sample", "x"], ["recommend", "ALS"], ["other"]])
