@@ -28,7 +28,11 @@ BEAM = 48
 
 
 def _classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All rows with the key of their class of equal vectors; and a row for each class with its smallest id."""
+    """All rows with the key of their class of equal vectors; and a row for each class with its smallest id.
+
+    Vectors of single precision travel as such, half as long; all that is computed of them is in double precision.
+    """
+    single = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
     values = F.col("embedding").cast("array<double>")
     usable = (
         F.col("vec_id").isNotNull()
@@ -46,7 +50,7 @@ def _classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     classes = (
         keyed.where("usable")
         .groupBy("k1", "k2")
-        .agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.any_value("v").alias("v"))
+        .agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.any_value(F.col("v").cast("array<float>") if single else F.col("v")).alias("v"))
         .withColumn("dim", F.size("v"))
     )
     return keyed.select("vec_id", "k1", "k2"), classes
@@ -133,7 +137,7 @@ def _drawn(classes: DataFrame, begin: float, end: float) -> dict[int, tuple[np.n
     table = classes.where((place >= int(begin * steps)) & (place < int(end * steps))).select("rep", "dim", "v").orderBy("rep").toArrow()
     dims = table["dim"].to_numpy()
     parts = {int(dim): table.filter(pa.array(dims == dim)) for dim in np.unique(dims)}
-    return {dim: (part["rep"].to_numpy(), unit(_matrix(part, dim))) for dim, part in parts.items()}
+    return {dim: (part["rep"].to_numpy(), unit(_matrix(part, dim).astype(np.float64))) for dim, part in parts.items()}
 
 
 def _links_of(graphs: DataFrame, sample: dict[int, tuple], least: float, beam: int) -> dict[int, np.ndarray]:

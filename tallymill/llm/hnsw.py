@@ -50,11 +50,12 @@ class Forest:
 
 
 class Graph:
-    """Layers of neighbour lists over unit vectors; layer 0 holds all of them, each next one a 16th."""
+    """Layers of neighbour lists over vectors, compared as unit vectors; layer 0 holds all of them, each next one a 16th."""
 
-    def __init__(self, vectors: np.ndarray, levels: np.ndarray, layers: list[np.ndarray], entry: int):
-        self.vectors, self.levels, self.layers, self.entry = vectors, levels, layers, entry
-        self.quick = vectors.astype(np.float32)
+    def __init__(self, given: np.ndarray, levels: np.ndarray, layers: list[np.ndarray], entry: int):
+        self.given, self.levels, self.layers, self.entry = given, levels, layers, entry
+        self.vectors = unit(given.astype(np.float64)) if len(given) else given.astype(np.float64)
+        self.quick = self.vectors.astype(np.float32)
 
     @classmethod
     def build(cls, vectors: np.ndarray, seed: int = 0) -> Graph:
@@ -63,7 +64,7 @@ class Graph:
         levels = np.minimum(-np.log(1 - random.random(count)) / np.log(DEGREE), 8).astype(np.int64)
         top = int(levels.max()) if count else 0
         layers = [np.full((count, 2 * DEGREE if layer == 0 else DEGREE), -1, np.int32) for layer in range(top + 1)]
-        graph = cls(unit(vectors) if count else vectors, levels, layers, -1)
+        graph = cls(vectors, levels, layers, -1)
         order = random.permutation(count)
         done = 0
         while done < count:
@@ -213,7 +214,7 @@ class Graph:
         count = len(self.quick)
         if not count or not len(queries):
             return
-        exact = unit(queries)
+        exact = unit(queries.astype(np.float64))
         for begin in range(0, len(queries), self._rows()):
             part = np.arange(begin, min(begin + self._rows(), len(queries)))
             if width >= count:
@@ -249,7 +250,7 @@ class Graph:
     def to_bytes(self, **more: np.ndarray) -> bytes:
         out = io.BytesIO()
         layers = {f"layer{at}": table for at, table in enumerate(self.layers)}
-        np.savez(out, vectors=self.vectors, levels=self.levels, entry=np.array(self.entry), **layers, **more)
+        np.savez(out, given=self.given, levels=self.levels, entry=np.array(self.entry), **layers, **more)
         return out.getvalue()
 
     @classmethod
@@ -257,4 +258,4 @@ class Graph:
         with np.load(io.BytesIO(data)) as file:
             arrays = {name: file[name] for name in file.files}
         layers = [arrays.pop(f"layer{at}") for at in range(sum(name.startswith("layer") for name in arrays))]
-        return cls(arrays.pop("vectors"), arrays.pop("levels"), layers, int(arrays.pop("entry"))), arrays
+        return cls(arrays.pop("given"), arrays.pop("levels"), layers, int(arrays.pop("entry"))), arrays

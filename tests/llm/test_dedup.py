@@ -161,6 +161,13 @@ def test_vectors_equal_brute_force(spark, noise, size):
     assert sum(found[key] == expected[key] for key in found) >= 0.98 * len(found)
 
 
+def test_vectors_of_single_precision_are_compared_in_double(spark):
+    vectors = vectors_with_groups(5, 4, 30, 0.33).astype(np.float32)
+    frame = spark.createDataFrame([(key, vector.tolist()) for key, vector in enumerate(vectors)], "vec_id long, embedding array<float>")
+    found = embedding_dedup.linked_vectors(frame, beam=10**6).collect()
+    assert {row.vec_id: (row.n_links, row.component_id, row.kept) for row in found} == expected_links(vectors.astype(np.float64))
+
+
 def test_no_vectors(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert embedding_dedup.linked_vectors(frame).count() == 0
