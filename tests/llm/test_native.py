@@ -203,6 +203,17 @@ def test_mixture_meets_its_targets(spark):
     assert mixing.mixed_sources(frame(spark, [])).count() == 0
 
 
+def test_conversations_with_clashing_columns(spark):
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "ho"), (2, None, None, None), (None, 0, "user", "x"), (None, 0, "user", "x")]
+    plain = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    names = ("tree", "node", "parent", "score", "leaf", "distance", "t", "n", "up", "rank")
+    clashing = plain.selectExpr("*", *(f"'{name}' AS {name}" for name in names))
+    both = [Counter(map(tuple, chat.formatted(chat.chains(frame)).select("tree", "n_turns", "formatted").collect())) for frame in (plain, clashing)]
+    assert both[0] == both[1] and len(both[0]) == 3
+    nodes_of = lambda frame: chat.formatted(chat.chains(frame), best=1).select("tree", "formatted").collect()
+    assert Counter(map(tuple, nodes_of(plain))) == Counter(map(tuple, nodes_of(clashing)))
+
+
 @pytest.mark.parametrize("size", [1, 50, 130, 2000, 9000, 30_000])
 @pytest.mark.parametrize("rank", [0, 1, 2])
 def test_small_sources_come_near_their_targets(spark, size, rank):
