@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallymill.llm.tables import stored
+from tallymill.llm.tables import received, shipped, stored
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -165,13 +165,13 @@ def predicted(documents: DataFrame, model: Model) -> DataFrame:
     the input by these two names are replaced.
     """
     spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast(Predictor(model))
+    shared = shipped(spark, Predictor(model))
     own = [name for name in documents.columns if name not in ("lang_pred", "score")]
     frame = documents.select(*own)
     at = own.index("text")
 
     def predict(batches):
-        predictor = shared.value
+        predictor = received(shared)
         for batch in batches:
             found = [predictor(text) for text in batch.column(at).to_pylist()]
             labels, scores = [x for x, _ in found], [y for _, y in found]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
+
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +15,19 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def shipped(spark: SparkSession, value: object) -> Broadcast:
+    """Broadcast an object of this package to workers that have no copy of the package; see :func:`received`."""
+    return spark.sparkContext.broadcast({"data": cloudpickle.dumps(value)})
+
+
+def received(shared: Broadcast):
+    """What was shipped. A worker unpacks it once and keeps it, and what it learns, for all its tasks."""
+    held = shared.value
+    if "value" not in held:
+        held["value"] = pickle.loads(held.pop("data"))
+    return held["value"]
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """The frame written once to the shared folder and read back.
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from tokenizers import Tokenizer
 
+from tallymill.llm.tables import received, shipped
 from tallymill.llm.text import SEPARATORS
 
 # Bounds: entries of the shared table and bytes of each, pre-tokens that the sketches follow, pre-tokens that a worker remembers.
@@ -119,14 +120,14 @@ def token_counts(documents: DataFrame, tokenizer_path: str, limit: int = LIMIT,
     tokenizer = Path(tokenizer_path).read_text(encoding="utf-8")
     words = [word.encode() for word in frequent_words(documents, text)]
     sizes = Lengths(tokenizer, [], np.empty(0, np.uint8)).encoded(words) if words else []
-    shared = spark.sparkContext.broadcast(Shared(tokenizer, words, np.array(sizes, np.uint8)))
+    shared = shipped(spark, Shared(tokenizer, words, np.array(sizes, np.uint8)))
     added = ("n_bytes", "n_tokens", "over_limit")
     own = [name for name in documents.columns if name not in added]
     frame = documents.select(*own)
     schema = StructType(list(frame.schema.fields)).add("n_bytes", "long").add("n_tokens", "long").add("over_limit", "boolean")
 
     def count(batches):
-        lengths = shared.value.table()
+        lengths = received(shared).table()
         for batch in batches:
             texts = [value or b"" for value in batch.column(len(own)).to_pylist()]
             tokens = np.fromiter(map(lengths.of, texts), np.int64, len(texts))
