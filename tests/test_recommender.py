@@ -114,6 +114,42 @@ def test_blocks_of_users_do_not_matter(model, scores, monkeypatch):
     assert assert_best(recommender.recommend_all(model, 5).collect(), scores, 5) == set(scores)
 
 
+def searched(found):
+    users, items, scores = (np.concatenate(column) for column in zip(*found))
+    order = np.lexsort((items, users))
+    return users[order], items[order], scores[order]
+
+
+@pytest.mark.parametrize("kind", ["normal", "positive", "equal scores", "ties", "zero"])
+def test_few_items_are_scored_in_full(kind, monkeypatch):
+    """The same rows as from all products, of which most pairs need none."""
+    rng = np.random.default_rng(5)
+    own, factors = (rng.normal(size=(size, 6)) for size in (300, 9000))
+    if kind == "positive":
+        own, factors = np.abs(own), np.abs(factors)
+    if kind == "equal scores":
+        own, factors = np.ones_like(own), np.ones_like(factors)
+    if kind == "ties":
+        own, factors = np.round(own), np.round(factors)
+    if kind == "zero":
+        own[:] = 0
+    own, factors = own.astype(np.float32), factors.astype(np.float32)
+    counts, ids = rng.integers(0, 60, 300), np.arange(9000) * 2
+    counts[:3] = 3000, 8999, 9005
+    rows, places, values = recommender._best(recommender._products(own, factors), counts)
+    products, pairs = recommender._products, []
+
+    def counted(users, items):
+        pairs.append(len(users) * len(items))
+        return products(users, items)
+
+    monkeypatch.setattr(recommender, "_products", counted)
+    found = searched(recommender._best_items(np.arange(300), counts.astype(float), own, ids, factors))
+    expected = searched([(rows, ids[places], values)])
+    assert all(np.array_equal(ours, theirs) for ours, theirs in zip(found, expected))
+    assert sum(pairs) < 0.1 * len(own) * len(factors)
+
+
 def test_equal_scores_go_by_item():
     scores = np.array([[1.0, 3.0, 2.0, 3.0, 2.0, 2.0]] * 2, dtype=np.float32)
     for first, second in ((3, 0), (9, 1), (2, 2)):
