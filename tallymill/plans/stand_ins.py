@@ -20,6 +20,9 @@ _COLUMNS = {
     ),
 }
 
+# Rows that a task should hold at once where it sorts or groups them.
+ROWS_PER_TASK = 1 << 18
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(_COLUMNS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
@@ -64,25 +67,40 @@ def flights(spark: SparkSession, folder: str, since_year: int | None = None) ->
     )
 
 
-def purchases(spark: SparkSession, folder: str) -> DataFrame:
+def portions(spark: SparkSession, folder: str) -> int:
+    """Partitions for frames with a row per line item, so that no task grows with the table; files know their number of rows.
+
+    The number of shuffle partitions is fixed, and adaptive execution merges them by compressed size. A sort of rows
+    of a few bytes, or a table of their keys, takes ten times that in memory.
+    """
+    return max(spark.sparkContext.defaultParallelism, -(-table(spark, folder, "lineitem").count() // ROWS_PER_TASK))
+
+
+def purchases(spark: SparkSession, folder: str, parts: int | None = None) -> DataFrame:
     """One row per line item with its buyer; a buyer may have bought a part several times."""
     items = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity"
     )
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    parts = parts or portions(spark, folder)
+    return items.repartition(parts, "l_orderkey").join(
+        orders.repartition(parts, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey")
+    )
 
 
 def ratings(spark: SparkSession, folder: str) -> DataFrame:
     """One half-star rating per buyer and part; random, so nothing can be learnt from it."""
-    stars = F.ceil(F.col("l_quantity") / 5.0) / 2.0
+    stars, parts = F.ceil(F.col("l_quantity") / 5.0) / 2.0, portions(spark, folder)
     return (
-        purchases(spark, folder)
-        .groupBy(
+        purchases(spark, folder, parts)
+        .select(
             F.col("o_custkey").cast("int").alias("userId"),
             F.col("l_partkey").cast("int").alias("movieId"),
+            stars.alias("stars"),
         )
-        .agg(F.max(stars).cast("float").alias("rating"))
+        .repartition(parts, "userId", "movieId")
+        .groupBy("userId", "movieId")
+        .agg(F.max("stars").cast("float").alias("rating"))
     )
 
 
@@ -90,11 +108,12 @@ def planted_ratings(spark: SparkSession, folder: str) -> DataFrame:
     """The same pairs with a rating of low rank, which a factorization has to find."""
     angle = 2 * F.pi() * (F.col("userId") % 7 - F.col("movieId") % 7) / 7.0
     rating = (F.round(2 * (2.75 + 2.0 * F.cos(angle))) / 2.0).cast("float")
-    pairs = purchases(spark, folder).select(
+    parts = portions(spark, folder)
+    pairs = purchases(spark, folder, parts).select(
         F.col("o_custkey").cast("int").alias("userId"),
         F.col("l_partkey").cast("int").alias("movieId"),
     )
-    return pairs.distinct().withColumn("rating", rating)
+    return pairs.repartition(parts, "userId", "movieId").distinct().withColumn("rating", rating)
 
 
 def movies(spark: SparkSession, folder: str) -> DataFrame:
