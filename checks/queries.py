@@ -225,7 +225,8 @@ def distinct_routes(spark, sf):
 
 
 def dedupe_any_key(spark, sf):
-    kept = sets.dedupe_any(stand_ins.purchases(spark, sf), ["o_custkey", "l_partkey"])
+    parts = stand_ins.portions(spark, sf)
+    kept = sets.dedupe_any(stand_ins.purchases(spark, sf, parts), ["o_custkey", "l_partkey"], parts)
     return kept.agg(F.count("*").alias("rows"), F.countDistinct("o_custkey", "l_partkey").alias("keys"))
 
 

@@ -45,9 +45,14 @@ def distinct_values(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns).distinct() if columns else df.distinct()
 
 
-def dedupe_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key; which one is open."""
-    return df.dropDuplicates(list(keys))
+def dedupe_any(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """One row per key; which one is open.
+
+    With nearly as many keys as rows it pays to deal the rows by key first, to so many ``partitions``: tasks before
+    the shuffle would keep a table of all their keys and drop next to nothing.
+    """
+    dealt = df if partitions is None else df.repartition(partitions, *keys)
+    return dealt.dropDuplicates(list(keys))
 
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
