@@ -77,6 +77,17 @@ def test_same_seed_same_model(ratings, model):
     assert all(first[key] == pytest.approx(second[key], abs=1e-4) for key in first)
 
 
+def test_checkpoints_bound_the_disk_and_change_no_result(ratings):
+    """The shuffle files of a few rounds stay, not those of half a fit; factors are the same to the last bit."""
+    often = recommender.make_als(max_iter=6, blocks=2, rank=2)
+    seldom = recommender.make_als(max_iter=6, blocks=2, rank=2, checkpointInterval=10)
+    assert often.getCheckpointInterval() == recommender.CHECKPOINT_ROUNDS <= 3 and seldom.getCheckpointInterval() == 10
+    stored = ratings.orderBy("userId", "movieId").coalesce(1).cache()
+    first, second = recommender.fit(often, stored), recommender.fit(seldom, stored)
+    assert rows_of(first.userFactors) == rows_of(second.userFactors)
+    assert rows_of(first.itemFactors) == rows_of(second.itemFactors)
+
+
 def test_unseen_rows_are_dropped(spark, model):
     pairs = spark.createDataFrame([(1, 1), (999_999, 1), (1, 999_999)], "userId int, movieId int")
     assert recommender.predict(model, pairs).count() <= 1
