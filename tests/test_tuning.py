@@ -1,7 +1,9 @@
 import math
+import threading
 
 import pytest
-from pyspark.ml.tuning import CrossValidatorModel
+from pyspark.ml.recommendation import ALS
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 
 from tallymill.functions import metrics
 from tallymill.operators.sampling import hash_split
@@ -122,3 +124,54 @@ def test_winner_beside_a_missing_error(spark):
     assert kept.bestModel.rank == 3
     whole = CrossValidatorModel(broken.bestModel, [0.4, 0.5])
     assert tuning.with_winner(whole, als, ratings, grid[0], 0) is whole
+
+
+def test_folds_have_the_errors_of_the_library(als, ratings):
+    grid = tuning.param_grid(als, ranks=(4,), reg_params=(5.0, 0.1))
+    found = tuning.cross_validated_search(als, ratings, grid, folds=3, parallelism=4, refit=ratings)
+    train, _ = hash_split(ratings, [0.9, 0.1], KEYS)
+    validator = CrossValidator(
+        estimator=als, estimatorParamMaps=grid, evaluator=tuning.evaluator(), numFolds=3, foldCol="fold", parallelism=2
+    )
+    plain = validator.fit(recommender.with_fold(train, 3))
+    assert found.cv_model.avgMetrics == pytest.approx(plain.avgMetrics, abs=1e-4)
+    assert found.cv_model.stdMetrics == pytest.approx(plain.stdMetrics, abs=1e-4)
+    again = recommender.fit(als, ratings, grid[1])
+    errors = [tuning.score(recommender.predict(model, ratings)) for model in (found.refit, again)]
+    assert errors[0] == pytest.approx(errors[1], abs=1e-4)
+
+
+def test_fits_of_all_folds_run_side_by_side(als, ratings, monkeypatch):
+    """Six fits of three folds at once."""
+    fits, started, plain = [], threading.Barrier(6), ALS._fit
+
+    def counted(self, rows):
+        fits.append(self.getRegParam())
+        if len(fits) <= 6:
+            started.wait(timeout=60)
+        return plain(self, rows)
+
+    monkeypatch.setattr(ALS, "_fit", counted)
+    grid = tuning.param_grid(als, ranks=(2,), reg_params=(5.0, 0.1))
+    tuning.cross_validated_search(als, ratings, grid, folds=3, parallelism=6)
+    assert fits.count(5.0) >= 3 and fits.count(0.1) >= 4
+
+
+def test_a_leader_that_does_not_win(als, ratings, monkeypatch):
+    """The model is that of the winner, whoever led when the last fits began."""
+    grid, plain = tuning.param_grid(als, ranks=(2, 3), reg_params=(0.1,)), tuning.fold_errors
+
+    def misled(*arguments):
+        errors, leaders = plain(*arguments)
+        best = tuning.lowest(errors.mean(axis=0).tolist())
+        return errors, [(1 - best, recommender.fit(als, ratings, grid[1 - best])) for _ in leaders]
+
+    monkeypatch.setattr(tuning, "fold_errors", misled)
+    found = tuning.cross_validated_search(als, ratings, grid, folds=2, parallelism=2)
+    assert found.cv_model.bestModel.rank == found.best[als.rank]
+
+
+def test_a_fold_without_rows_is_refused(als, ratings):
+    few = recommender.with_fold(ratings, 3).where("fold < 2")
+    with pytest.raises(ValueError, match="fold 2"):
+        tuning.fold_errors(als, few, tuning.param_grid(als, (2,), (0.1,)), 3, 2)
