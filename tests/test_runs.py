@@ -6,7 +6,7 @@ from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import functions as F
 
 from tallymill import cli
-from tallymill.plans import runs, sampler, stand_ins
+from tallymill.plans import recommender, runs, sampler, stand_ins, tuning
 from tallymill.sources import readers
 from tallymill.sources.writers import write_table
 from tests.conftest import SMALL, rows_of
@@ -74,6 +74,21 @@ def test_recommender_from_files(spark, inputs, tmp_path, mode):
         runs.run_recommender(spark, mode, *inputs, out, max_iter=1, ranks=(2,), reg_params=(0.1,), folds=2)
 
 
+def test_the_leader_is_fitted_on_all_ratings_beside_the_folds(spark, inputs, tmp_path, monkeypatch):
+    """After a cross-validation no fit is left, which would run alone."""
+    searched, fits, plain = [], [], tuning.cross_validated_search
+
+    def search(*arguments, **options):
+        searched.append(plain(*arguments, **options))
+        monkeypatch.setattr(recommender, "fit", lambda *late: fits.append(late))
+        return searched[0]
+
+    monkeypatch.setattr(tuning, "cross_validated_search", search)
+    out = str(tmp_path / "out")
+    run = runs.run_recommender(spark, "ALSCv", *inputs, out, max_iter=1, blocks=2, ranks=(2,), reg_params=(0.1,), folds=2)
+    assert run.model is searched[0].refit and not fits
+
+
 def test_unknown_mode(spark, inputs, tmp_path):
     with pytest.raises(ValueError, match="unknown mode"):
         runs.run_recommender(spark, "SVD", *inputs, str(tmp_path / "out"))
