@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tallymill.llm import embedding_dedup, jaccard, substring_dedup
+from tallymill.llm import embedding_dedup, jaccard, substring_dedup, tables
 from tallymill.llm.hnsw import Forest, Graph
 from tallymill.llm.tables import components
 from tests.llm import brute
@@ -249,3 +249,27 @@ def test_components_of_chains_stars_and_pairs(spark):
     expected = brute.smallest_reachable({node for link in links for node in link}, links)
     assert {row.node: row.component for row in found} == expected
     assert components(spark.createDataFrame([], "a long, b long"), "links").count() == 0
+
+
+def test_short_steps_do_not_collect_the_garbage_of_the_driver_each(spark, monkeypatch):
+    class Frame:
+        collected = 0
+
+        @property
+        def sparkSession(self):
+            return self
+
+        sparkContext = _jvm = System = sparkSession
+
+        def gc(self):
+            Frame.collected += 1
+
+        def inputFiles(self):
+            return []
+
+    now = iter([100.0, 100.0, 101.0, 114.0, 116.0, 116.0, 117.0])
+    monkeypatch.setattr(tables.time, "monotonic", lambda: next(now))
+    monkeypatch.setattr(tables, "_collected", {"at": float("-inf")})
+    for expected in (1, 1, 1, 2, 2):
+        tables.discard(Frame())
+        assert Frame.collected == expected
