@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.llm.tables import components, discard, stored
-from tallymill.llm.text import WORD, run_hashes, shingle_hashes, word_hasher
+from tallymill.llm.text import WORD, distinct, run_hashes, shingle_hashes, word_hashes
 
 SHINGLE_WORDS = 5
 PERCENT = 75
@@ -56,11 +56,6 @@ def _class_of(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _words(texts, hashes):
-    for text in texts:
-        yield hashes(text.lower().split()) if text else np.empty(0, np.uint64)
-
-
 def _signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
@@ -73,11 +68,10 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 def _described(batches):
     """Of each text: size and class of its shingle set, its counts in the bins, and the slice of it by hash."""
-    hashes = word_hasher()
     limit, bits = np.uint64((1 << 64) // SLICE), np.uint64(BINS - 1)
     for batch in batches:
         sizes, classes, slices, bins = [], [], [], []
-        for words in _words(batch["text"].to_pylist(), hashes):
+        for words in word_hashes(batch["text"]):
             shingles = shingle_hashes(words, SHINGLE_WORDS)
             sizes.append(len(shingles))
             classes.append(_class_of(shingles) if len(shingles) else None)
@@ -109,17 +103,16 @@ def _around(shared):
     """Distinct shingles of each text within reach of a frequent one: what may belong to a frequent passage."""
 
     def run(batches):
-        hashes = word_hasher()
         for batch in batches:
             found = []
-            for words in _words(batch["text"].to_pylist(), hashes):
+            for words in word_hashes(batch["text"]):
                 runs = run_hashes(words, SHINGLE_WORDS)
                 hits = np.flatnonzero(_member(runs, shared.value)) if len(runs) else ()
                 if len(hits):
                     edges = np.zeros(len(runs) + 1, np.int64)
                     np.add.at(edges, np.maximum(hits - PASSAGE_WORDS // 2, 0), 1)
                     np.add.at(edges, np.minimum(hits + PASSAGE_WORDS // 2, len(runs)), -1)
-                    found.append(np.unique(runs[np.cumsum(edges[:-1]) > 0]))
+                    found.append(distinct(runs[np.cumsum(edges[:-1]) > 0]))
             if found:
                 values, counts = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.record_batch([pa.array(_signed(values)), pa.array(counts)], ["shingle", "n"])
@@ -148,10 +141,10 @@ def _windowed(shared, percent: int):
     """``shingle, class, n``: the first shingles of each text, frequent ones last, else in the order of hashes."""
 
     def run(batches):
-        hashes, known = word_hasher(), set()
+        known = set()
         for batch in batches:
             tokens, classes, sizes = [], [], []
-            for words in _words(batch["text"].to_pylist(), hashes):
+            for words in word_hashes(batch["text"]):
                 shingles = shingle_hashes(words, SHINGLE_WORDS)
                 if not len(shingles):
                     continue
@@ -272,15 +265,16 @@ def _bounded(batches):
 
 def _shared(batches):
     """Shared shingles of pairs of texts."""
-    hashes = word_hasher()
     for batch in batches:
-        counts, last = [], (None, None)
-        lefts, rights = batch["text_a"].to_pylist(), batch["text_b"].to_pylist()
-        for left, right in zip(lefts, rights, strict=True):
-            if left != last[0]:
-                last = left, shingle_hashes(hashes(left.lower().split()), SHINGLE_WORDS)
-            other = shingle_hashes(hashes(right.lower().split()), SHINGLE_WORDS)
-            counts.append(int(_member(other, last[1]).sum()))
+        counts, classes = [], batch["a"].to_numpy()
+        # The text of a class is looked up once for rows that follow each other.
+        fresh = np.ones(len(classes), bool)
+        np.not_equal(classes[1:], classes[:-1], out=fresh[1:])
+        lefts = word_hashes(batch["text_a"].filter(pa.array(fresh)))
+        for first, right in zip(fresh, word_hashes(batch["text_b"]), strict=True):
+            if first:
+                left = shingle_hashes(next(lefts), SHINGLE_WORDS)
+            counts.append(int(_member(shingle_hashes(right, SHINGLE_WORDS), left).sum()))
         yield pa.record_batch([*(batch[name] for name in ("a", "b", "n_a", "n_b")), pa.array(counts, pa.int64())], ["a", "b", "n_a", "n_b", "shared"])
 
 

@@ -1,16 +1,19 @@
-"""Operators 2, 9 and 10."""
+"""Operators 2, 9 and 10, and hashes of words."""
 
 import hashlib
 import random
 import re
 import time
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tallymill.llm import html_text, language, personal_data
+from tallymill.llm import html_text, jaccard, language, personal_data
+from tallymill.llm import text as word_text
 from tests.conftest import MEDIUM
 
 PATTERNS = (
@@ -292,3 +295,32 @@ def test_language_model_is_bounded_by_the_characters_of_its_sample(spark):
     assert "words" in model.tables[0] and "long" not in model.tables[0]
     again = language.fit(frame.repartition(9), chars=60_000)
     assert again.tables == model.tables and (again.rows == model.rows).all()
+
+
+def test_words_are_hashed_side_by_side_as_they_are_split(monkeypatch):
+    draw = random.Random(4)
+    pieces = [b" ", b"  ", b"\t", b"\x0b\x0c\r\n", b"\x1c", b"\x00", b"a", b"B", b"\xc3\x89", b"\xff", b"\xc2\xa0", b"x" * 7, b"y" * 300]
+    texts = [b"".join(draw.choices(pieces, k=draw.randrange(40))) for _ in range(300)]
+    edges = [b"z" * length for length in (*range(1, 34), 255, 256, 257, 1000)]
+    texts += [None, b"", b" \t", b"\x00", b"\x00\x00", *edges, b" ".join(edges), None]
+    for portion in (1, 50, 1 << 21):
+        monkeypatch.setattr(word_text, "_BYTES_AT_ONCE", portion)
+        found = list(word_text.word_hashes(pa.array([b"left out", *texts, b"left out"], pa.binary())[1:-1]))
+        known = {}
+        for own, hashes in zip(texts, found, strict=True):
+            words = own.lower().split() if own else []
+            assert len(words) == len(hashes)
+            for word, value in zip(words, hashes.tolist()):
+                assert known.setdefault(word, value) == value
+        assert len(set(known.values())) == len(known) > 100
+
+
+def test_words_of_a_large_vocabulary_are_not_hashed_one_by_one(monkeypatch):
+    """A table of known words, or a call for each, took most of the time of the Jaccard join."""
+    asked = []
+    monkeypatch.setattr(word_text.xxhash, "xxh3_64_intdigest", lambda word: asked.append(word) or 1)
+    texts = pa.array([" ".join(f"word{number}" for number in range(start, start + 500)).encode() for start in range(0, 5000, 500)], pa.binary())
+    for function in (jaccard._described, jaccard._windowed(SimpleNamespace(value=np.empty(0, np.uint64)), 75)):
+        columns = [pa.array(range(10), pa.int64()), pa.array(range(10), pa.int64()), texts]
+        assert sum(map(len, function([pa.record_batch(columns, ["doc_id", "copy", "text"])])))
+    assert not asked
