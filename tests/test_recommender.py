@@ -88,6 +88,21 @@ def test_checkpoints_bound_the_disk_and_change_no_result(ratings):
     assert rows_of(first.itemFactors) == rows_of(second.itemFactors)
 
 
+def test_fits_keep_nothing_in_the_heap_and_change_no_result(spark, ratings):
+    """Blocks of ratings take their room outside of what Spark manages, so nothing kept may stand in the way."""
+    als = recommender.make_als(max_iter=3, blocks=2, rank=2)
+    plain = recommender.make_als(max_iter=3, blocks=2, rank=2, intermediateStorageLevel="MEMORY_AND_DISK", finalStorageLevel="MEMORY_AND_DISK")
+    stored = ratings.orderBy("userId", "movieId").coalesce(1).cache()
+    stored.count()
+    before = {info.id() for info in spark.sparkContext._jsc.sc().getRDDStorageInfo()}
+    first = recommender.fit(als, stored)
+    kept = [info for info in spark.sparkContext._jsc.sc().getRDDStorageInfo() if info.id() not in before]
+    assert kept and all(info.memSize() == 0 for info in kept) and any(info.diskSize() for info in kept)
+    second = recommender.fit(plain, stored)
+    assert rows_of(first.userFactors) == rows_of(second.userFactors)
+    assert rows_of(first.itemFactors) == rows_of(second.itemFactors)
+
+
 def test_unseen_rows_are_dropped(spark, model):
     pairs = spark.createDataFrame([(1, 1), (999_999, 1), (1, 999_999)], "userId int, movieId int")
     assert recommender.predict(model, pairs).count() <= 1

@@ -87,6 +87,24 @@ def test_nothing_is_left_in_memory(spark, als, ratings):
     assert not any(name and "split" in name for name in names)
 
 
+@pytest.mark.parametrize("search", [tuning.holdout_search, tuning.cross_validated_search])
+def test_split_rows_are_kept_on_disk(als, ratings, monkeypatch, search):
+    """The heap is needed by the fits."""
+    levels, plain = [], tuning.fit
+
+    def watched(als, rows, *rest):
+        model = plain(als, rows, *rest)
+        jvm = rows.sparkSession.sparkContext._jsc.getPersistentRDDs()
+        levels.extend(jvm[key].getStorageLevel() for key in jvm if "split" in (jvm[key].name() or ""))
+        return model
+
+    monkeypatch.setattr(tuning, "fit", watched)
+    frame = ratings.where("userId > 0")
+    more = {"folds": 2} if search is tuning.cross_validated_search else {}
+    search(als, frame, tuning.param_grid(als, ranks=(2,), reg_params=(0.1,)), **more)
+    assert levels and not any(level.useMemory() for level in levels)
+
+
 def test_search_without_validation_rows(spark, als):
     one = spark.createDataFrame([(1, 1, 3.0)], "userId int, movieId int, rating float")
     with pytest.raises(Exception):
